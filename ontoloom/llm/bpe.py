@@ -7,7 +7,7 @@ two, for the misses: the pre-token's bytes form a linked list, a heap holds the
 ranks of its neighbouring pairs, and the least rank, leftmost first, is merged
 until none is left. The pairs are looked up by the same hash. A pre-token of n
 bytes takes O(n log n), so one long run of letters does no harm. Results of
-both tiers are remembered, up to ``Encoder.KNOWN`` pre-tokens of ``SHORT`` bytes.
+both tiers are remembered, up to ``Encoder.KNOWN`` pre-tokens of ``SHORT`` letters.
 
 Defined cases: a null text counts as empty and has no ids; special tokens are
 ordinary text; decoding is a plain concatenation and gives back the text's
@@ -19,8 +19,8 @@ from __future__ import annotations
 
 import base64
 import heapq
+import struct
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -86,34 +86,49 @@ class PerfectHash:
         return self.ids[s] if self.keys[s] == key else -1
 
 
-def merge(piece: bytes, rank: Callable[[bytes], int]) -> list[int]:
+class Ranks(dict):
+    """Ranks of byte strings as the perfect hash gives them (-1: none), remembered up to ``KNOWN`` strings."""
+
+    KNOWN = 300_000
+
+    def __init__(self, table: PerfectHash):
+        self.get_rank = table.get
+
+    def __missing__(self, part: bytes) -> int:
+        found = self.get_rank(part)
+        if len(part) <= 64:
+            if len(self) >= self.KNOWN:
+                self.clear()
+            self[part] = found
+        return found
+
+
+def merge(piece: bytes, ranks: Ranks) -> list[int]:
     """The ids of a pre-token: a heap of pair ranks over linked bytes.
 
     A symbol is known by where it starts; ``end`` and ``prev`` link it to its
-    neighbours. An entry of the heap is (rank, start, middle, end) of a pair
-    and is stale once either half has changed.
+    neighbours, ``ids`` has its rank. An entry of the heap is (rank, start,
+    middle, end) of a pair and is stale once either half has changed.
     """
     n = len(piece)
+    rank = ranks.__getitem__
     end, prev = list(range(1, n + 1)), list(range(-1, n - 1))
+    ids = [rank(piece[i : i + 1]) for i in range(n)]
     heap = [(r, i, i + 1, i + 2) for i in range(n - 1) if (r := rank(piece[i : i + 2])) >= 0]
     heapq.heapify(heap)
     pop, push = heapq.heappop, heapq.heappush
     while heap:
-        _, i, j, k = pop(heap)
+        r, i, j, k = pop(heap)
         if end[i] != j or end[j] != k:
             continue
-        end[i], end[j] = k, 0  # the right half is gone
+        end[i], end[j], ids[i], ids[j] = k, 0, r, -1  # the right half is gone
         if k < n:
             prev[k] = i
             if (r := rank(piece[i : end[k]])) >= 0:
                 push(heap, (r, i, k, end[k]))
         if (h := prev[i]) >= 0 and (r := rank(piece[h:k])) >= 0:
             push(heap, (r, h, i, k))
-    out, i = [], 0
-    while i < n:
-        out.append(rank(piece[i : end[i]]))
-        i = end[i]
-    return out
+    return [x for x in ids if x >= 0]
 
 
 _tables: dict[int, PerfectHash] = {}
@@ -129,45 +144,43 @@ def table_of(vocabulary: list[bytes]) -> PerfectHash:
 
 
 class Encoder:
-    """Encodes texts one after the other and remembers, within bounds, what both tiers have found."""
+    """Encodes texts one after the other and remembers, within bounds, what both tiers have found.
 
-    KNOWN = 300_000
+    The ids of a pre-token are kept as the bytes of 32-bit integers, so that a
+    text's ids are one join of bytes.
+    """
+
+    KNOWN = 400_000
     SHORT = 64
 
     def __init__(self, vocabulary: list[bytes], pattern: str):
         self.find = regex.compile(pattern).findall
-        self.get = table_of(vocabulary).get
-        self.known: dict[str, list[int]] = {}
-        self.ranks: dict[bytes, int] = {}
-
-    def rank(self, part: bytes) -> int:
-        found = self.ranks.get(part)
-        if found is None:
-            found = self.get(part)
-            if len(part) <= self.SHORT:
-                if len(self.ranks) >= self.KNOWN:
-                    self.ranks.clear()
-                self.ranks[part] = found
-        return found
+        self.table = table_of(vocabulary)
+        self.ranks = Ranks(self.table)
+        self.known: dict[str, bytes] = {}
 
-    def piece(self, text: str) -> list[int]:
+    def piece(self, text: str) -> bytes:
         data = text.encode("utf-8", "surrogatepass")
-        rank = self.get(data)
-        return [rank] if rank >= 0 else merge(data, self.rank)
+        rank = self.table.get(data)
+        ids = [rank] if rank >= 0 else merge(data, self.ranks)
+        return struct.pack(f"={len(ids)}i", *ids)
 
-    def ids(self, text: str) -> list[int]:
+    def packed(self, text: str) -> bytes:
+        """The ids of a text as 32-bit integers."""
         pieces = self.find(text)
         found = list(map(self.known.get, pieces))
         if None in found:
             for i, p in enumerate(pieces):
                 if found[i] is None:
-                    ids = self.known.get(p) or self.piece(p)
-                    found[i] = ids
+                    ids = found[i] = self.known.get(p) or self.piece(p)
                     if len(p) <= self.SHORT:
                         if len(self.known) >= self.KNOWN:
                             self.known.clear()
                         self.known[p] = ids
-        return list(chain.from_iterable(found))
+        return b"".join(found)
+
+    def ids(self, text: str) -> list[int]:
+        return np.frombuffer(self.packed(text), np.int32).tolist()
 
 
 def encode(text: Column, vocabulary: list[bytes], pattern: str) -> Column:
@@ -177,9 +190,9 @@ def encode(text: Column, vocabulary: list[bytes], pattern: str) -> Column:
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(vocabulary, pattern)
         for texts in batches:
-            ids = [np.array(encoder.ids(t.as_py() or ""), np.int32) for t in texts]
-            offsets = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids) if ids else np.empty(0, np.int32)))
+            ids = [encoder.packed(t.as_py() or "") for t in texts]
+            offsets = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
+            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), np.int32)))
 
     return of(whole(text))
 
