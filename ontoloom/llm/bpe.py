@@ -150,7 +150,7 @@ class Encoder:
     text's ids are one join of bytes.
     """
 
-    KNOWN = 400_000
+    KNOWN = 300_000
     SHORT = 64
 
     def __init__(self, vocabulary: list[bytes], pattern: str):
