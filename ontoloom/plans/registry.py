@@ -2,9 +2,578 @@
 
 from __future__ import annotations
 
+import gzip
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ontoloom.functions import formats as N
+from ontoloom.functions import text as X
+from ontoloom.functions import vocab as V
+from ontoloom.operators import browse as B
+from ontoloom.operators import catalog as C
+from ontoloom.operators import graph as G
+from ontoloom.plans import inputs as I
+from ontoloom.sources import archives, rdf
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def put(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return put
+
+
+_NODES = " UNION ALL ".join(f"SELECT '{t}:' || {k} AS id, '{c}' AS category, {n} AS name, '{t}' AS provided_by FROM {t}" for t, k, c, n in G.NODE_SPEC)
+_EDGES = " UNION ALL ".join(
+    f"SELECT '{s[0]}:' || {s[1]} AS subject, '{p}' AS predicate, '{o[0]}:' || {o[1]} AS object, '{t}' AS provided_by, 'infores:{t}' AS primary_knowledge_source FROM {t}" for t, s, p, o in G.EDGE_SPEC
+)
+_STATS = f"""
+WITH n AS (SELECT provided_by AS id, count(*) AS nodecount FROM ({_NODES}) GROUP BY ALL), e AS (SELECT provided_by AS id, count(*) AS edgecount FROM ({_EDGES}) GROUP BY ALL)
+SELECT coalesce(n.id, e.id) AS id, coalesce(nodecount, 0) AS nodecount, coalesce(edgecount, 0) AS edgecount FROM n FULL JOIN e ON n.id = e.id
+"""
+
+
+# --- graphs -------------------------------------------------------------------------
+
+
+@query(_NODES)
+def kg_nodes(spark, sf_dir):
+    return G.star_nodes(spark, sf_dir)
+
+
+@query(_EDGES)
+def kg_edges(spark, sf_dir):
+    return G.star_edges(spark, sf_dir)
+
+
+@query(_STATS)
+def source_stats(spark, sf_dir):
+    return G.source_stats(G.star_nodes(spark, sf_dir), G.star_edges(spark, sf_dir))
+
+
+@query(f"""
+WITH n AS ({_NODES}), e AS ({_EDGES})
+SELECT 'node' AS kind, 'provided_by' AS facet, provided_by AS key, category AS value, count(*) AS n FROM n GROUP BY ALL
+UNION ALL SELECT 'edge', 'provided_by', provided_by, predicate, count(*) FROM e GROUP BY ALL
+UNION ALL SELECT 'edge', 'primary_knowledge_source', primary_knowledge_source, predicate, count(*) FROM e GROUP BY ALL
+""")
+def graph_facets(spark, sf_dir):
+    return G.facets(G.star_nodes(spark, sf_dir), G.star_edges(spark, sf_dir))
+
+
+@query("""
+SELECT lang, source, count(*) AS n FROM documents GROUP BY GROUPING SETS ((lang), (source), (lang, source))
+""")
+def grouping_facets(spark, sf_dir):
+    d = I.table(spark, sf_dir, "documents")
+    return d.groupingSets([["lang"], ["source"], ["lang", "source"]], "lang", "source").agg(F.count(F.lit(1)).alias("n")).select("lang", "source", "n")
+
+
+@query(f"""
+WITH n AS ({_NODES}), x AS (SELECT id, category, name, provided_by FROM n UNION ALL SELECT id, 'Thing', NULL, 'other' FROM n WHERE category IN ('Nation', 'Part'))
+SELECT id, array_to_string(list_sort(list_distinct(list(category))), '|') AS category, min(name) AS name, array_to_string(list_sort(list_distinct(list(provided_by))), '|') AS provided_by FROM x GROUP BY id
+""")
+def merged_nodes(spark, sf_dir):
+    n = G.star_nodes(spark, sf_dir)
+    other = n.where(F.col("category").isin("Nation", "Part")).select("id", F.lit("Thing").alias("category"), F.lit("other").alias("provided_by"))
+    m = G.merge_nodes(n, other)
+    return m.withColumns({c: G.join_values(F.col(c)) for c in ("category", "provided_by")})
+
+
+@query(f"""
+SELECT subject, predicate, object, array_to_string(list_sort(list_distinct(list(provided_by))), '|') AS provided_by,
+  array_to_string(list_sort(list_distinct(list(primary_knowledge_source))), '|') AS primary_knowledge_source FROM ({_EDGES}) GROUP BY subject, predicate, object
+""")
+def merged_edges(spark, sf_dir):
+    e = G.merge_edges(G.star_edges(spark, sf_dir))
+    return e.withColumns({c: G.join_values(F.col(c)) for c in ("provided_by", "primary_knowledge_source")})
+
+
+@query(f"SELECT * FROM ({_NODES}) WHERE provided_by IN ('region', 'nation')")
+def merge_included(spark, sf_dir):
+    return G.select_sources(G.star_nodes(spark, sf_dir), include=["region", "nation"])
+
+
+@query(f"SELECT * FROM ({_NODES}) WHERE provided_by NOT IN ('orders', 'part')")
+def merge_excluded(spark, sf_dir):
+    return G.select_sources(G.star_nodes(spark, sf_dir), exclude=["orders", "part"])
+
+
+@query(f"""
+WITH n AS (SELECT id FROM ({_NODES}) WHERE category <> 'Part' AND id <> 'nation:3'), e AS ({_EDGES}),
+x AS (SELECT subject AS id, 'subject' AS role FROM e UNION ALL SELECT object, 'object' FROM e)
+SELECT id, role, count(*) AS edges FROM x WHERE id NOT IN (SELECT id FROM n) GROUP BY id, role
+""")
+def dangling_edges(spark, sf_dir):
+    n = G.star_nodes(spark, sf_dir).where("category <> 'Part' and id <> 'nation:3'")
+    return G.dangling(G.star_edges(spark, sf_dir), n)
+
+
+@query(f"""
+WITH RECURSIVE e AS (SELECT DISTINCT subject, object FROM ({_EDGES})),
+r(start, id, hops) AS (SELECT id, id, 0 FROM ({_NODES}) WHERE category = 'Customer' UNION SELECT r.start, e.object, r.hops + 1 FROM r JOIN e ON e.subject = r.id WHERE r.hops < 3)
+SELECT start, id, CAST(min(hops) AS INTEGER) AS hops FROM r GROUP BY start, id
+""")
+def traversal(spark, sf_dir):
+    start = G.star_nodes(spark, sf_dir).where("category = 'Customer'")
+    return G.reachable(G.star_edges(spark, sf_dir), start, 3)
+
+
+@query("""
+SELECT p_brand AS id, array_to_string(list_sort(list_distinct(list(p_type))), '|') AS types FROM part GROUP BY p_brand
+""")
+def multi_valued_sort(spark, sf_dir):
+    cell = I.table(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("id")).agg(F.array_join(F.collect_list("p_type"), "|").alias("t"))
+    return cell.select("id", G.join_values(G.split_values(F.col("t"))).alias("types"))
+
+
+@query("""
+WITH d AS (SELECT DISTINCT p_brand, p_size, p_brand = 'Brand#11' AS m FROM part)
+SELECT p_brand AS id, CASE WHEN p_brand = 'Brand#11' THEN string_agg(CAST(p_size AS VARCHAR), '|' ORDER BY CAST(p_size AS VARCHAR)) ELSE string_agg(CAST(p_size AS VARCHAR), '|' ORDER BY p_size) END AS sizes, p_brand = 'Brand#11' AS mixed
+FROM d GROUP BY p_brand
+""")
+def mixed_type_sort(spark, sf_dir):
+    kind = F.when((F.col("p_brand") == "Brand#11") & (F.col("p_partkey") % 2 == 0), "string").otherwise("int")
+    v = F.struct(F.col("p_size").cast("string").alias("lex"), F.when(F.col("p_brand") == "Brand#11", kind).otherwise("int").alias("datatype"), F.lit(None).cast("string").alias("lang"))
+    g = I.table(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("id")).agg(F.collect_list(v).alias("v"))
+    return g.select("id", G.join_values(G.sort_property(F.col("v"))).alias("sizes"), G.mixed(F.col("v")).alias("mixed"))
+
+
+# --- the catalogue --------------------------------------------------------------------
+
+
+@query(f"""
+WITH s AS ({_STATS}) SELECT count(*) AS totalcount, CAST(0 AS BIGINT) AS skippedcount, CAST(0 AS BIGINT) AS failedcount, CAST(0 AS BIGINT) AS licensedcount,
+  CAST(sum(nodecount) AS BIGINT) AS totalnodecount, CAST(sum(edgecount) AS BIGINT) AS totaledgecount FROM s
+""")
+def totals(spark, sf_dir):
+    s = source_stats(spark, sf_dir).withColumns({"status": F.lit(V.OK), "reason": F.lit("")})
+    return C.totals(s)
+
+
+def _outcomes(spark, sf_dir):
+    e = I.table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k").cast("int")
+    code = F.element_at(F.array(*[F.lit(c) for c in (200, 200, 200, 401, 403, 404, 502, 200, 200, 200)]), (k % 10 + 1).cast("int"))
+    reason = C.outcome(
+        F.when(k == 7, " mesh ").otherwise("X"), F.when(k == 1, 500).otherwise(200), k != 2, k == 3, code, k != 8, F.when(k == 9, F.lit(10**9)), F.col("event_id") * 10, 50_000,
+    )
+    return e.select("event_id", F.coalesce(reason, F.lit("")).alias("reason"))
+
+
+_OUTCOME_SQL = """
+SELECT event_id, CASE WHEN k = 7 THEN 'skiplist' WHEN k = 1 THEN 'metadata_http_error' WHEN k = 2 THEN 'no_submission' WHEN k = 3 THEN 'download_error'
+  WHEN k % 10 IN (3, 4) THEN 'license_restricted' WHEN k % 10 = 5 THEN 'no_download_file' WHEN k % 10 = 6 THEN 'download_http_error' WHEN k = 8 THEN 'not_downloadable'
+  WHEN k = 9 OR event_id * 10 > 50000 THEN 'too_large' ELSE '' END AS reason
+FROM (SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events)
+"""
+
+
+@query(f"SELECT event_id, reason, CASE WHEN reason = '' THEN 'downloaded' WHEN reason IN ('skiplist', 'too_large') THEN 'skipped' ELSE 'error' END AS status FROM ({_OUTCOME_SQL})")
+def outcome_classify(spark, sf_dir):
+    return _outcomes(spark, sf_dir).withColumn("status", C.download_status(F.col("reason")))
+
+
+@query(f"""
+WITH o AS ({_OUTCOME_SQL})
+SELECT count(*) FILTER (reason IN ('skiplist', 'too_large')) AS skipped, count(*) FILTER (reason NOT IN ('', 'skiplist', 'too_large')) AS errored,
+  count(*) FILTER (reason = 'license_restricted') AS licensed, count(*) FILTER (reason NOT IN ('', 'skiplist', 'too_large', 'license_restricted')) AS real_errors FROM o
+""")
+def failure_log(spark, sf_dir):
+    return C.failure_log(outcome_classify(spark, sf_dir))
+
+
+@query(f"""
+WITH r AS ({I.REPORT_SQL}) SELECT id, CASE WHEN status = 'skipped' THEN 'Skipped' WHEN status = 'error' THEN 'Failed' ELSE 'OK' END AS status, reason FROM r
+""")
+def outcome_overlay(spark, sf_dir):
+    r = I.report(spark, sf_dir)
+    seeded = r.where("status <> 'downloaded'").select("id", C.index_status(F.col("status")).alias("status"), "reason")
+    done = r.where("status = 'downloaded'").select("id", C.transform_status(F.lit("")).alias("status"), F.lit("").alias("reason"))
+    return C.overlay(done, seeded)
+
+
+@query(f"""
+WITH r AS ({I.REPORT_SQL}) SELECT 'S' || c_custkey AS id, coalesce(r.name, '') AS name, coalesce(version, '') AS version, coalesce(submission_id, 'NA') AS submission_id,
+  coalesce(source_bytes, 0) AS source_bytes FROM customer LEFT JOIN r ON r.id = 'S' || c_custkey
+""")
+def files_with_report(spark, sf_dir):
+    files = I.table(spark, sf_dir, "customer").select(F.concat(F.lit("S"), F.col("c_custkey").cast("string")).alias("id"))
+    return C.with_report(files, I.report(spark, sf_dir))
+
+
+@query(I.INDEX_SQL + "SELECT id, status, reason, nodecount, edgecount, download_url FROM idx")
+def index_overlay(spark, sf_dir):
+    out = C.index_overlay(I.base_index(spark, sf_dir), I.fragments(spark, sf_dir), "new")
+    return out.select("id", "status", "reason", "nodecount", "edgecount", "download_url")
+
+
+@query(I.INDEX_SQL + "SELECT id, download_url FROM idx WHERE status = 'OK' AND download_url IS NOT NULL")
+def url_manifest(spark, sf_dir):
+    return C.url_manifest(C.index_overlay(I.base_index(spark, sf_dir), I.fragments(spark, sf_dir), "new"))
+
+
+@query(I.INDEX_SQL + """
+SELECT count(*) FILTER (status = 'OK') AS totalcount, count(*) FILTER (status = 'Skipped') AS skippedcount, count(*) FILTER (status = 'Failed') AS failedcount, CAST(0 AS BIGINT) AS licensedcount,
+  CAST(sum(nodecount) AS BIGINT) AS totalnodecount, CAST(sum(edgecount) AS BIGINT) AS totaledgecount FROM idx
+""")
+def index_totals(spark, sf_dir):
+    return C.totals(C.index_overlay(I.base_index(spark, sf_dir), I.fragments(spark, sf_dir), "new"))
+
+
+@query("SELECT true AS balanced")
+def index_balanced(spark, sf_dir):
+    return C.accounted(C.index_overlay(I.base_index(spark, sf_dir), I.fragments(spark, sf_dir), "new"))
+
+
+@query(f"""
+WITH b AS ({I.BASE_SQL})
+SELECT id, status, reason, nodecount, edgecount FROM b
+UNION ALL SELECT 'C' || c_custkey, 'Skipped', 'skiplist', 0, 0 FROM customer WHERE 'C' || c_custkey NOT IN (SELECT id FROM b)
+""")
+def giants_appended(spark, sf_dir):
+    giants = I.table(spark, sf_dir, "customer").select(F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("id"))
+    return C.add_giants(I.base_index(spark, sf_dir), giants).select("id", "status", "reason", "nodecount", "edgecount")
+
+
+_VERSION_CTE = """
+WITH c AS (SELECT doc_id AS id, CASE WHEN doc_id % 10 = 0 THEN 'NA' ELSE CAST(n_chars % 3 AS VARCHAR) END AS submission_id FROM documents),
+x AS (SELECT doc_id AS id, CASE WHEN doc_id % 10 = 0 THEN 'NA' WHEN doc_id % 7 = 0 THEN '' ELSE CAST(quality + toxic AS VARCHAR) END AS submission_id FROM labels),
+k AS (SELECT * FROM x WHERE submission_id NOT IN ('', 'NA'))
+"""
+
+
+def _versions(spark, sf_dir):
+    d, lab = I.table(spark, sf_dir, "documents"), I.table(spark, sf_dir, "labels")
+    cat = d.select(F.col("doc_id").alias("id"), F.when(F.col("doc_id") % 10 == 0, "NA").otherwise((F.col("n_chars") % 3).cast("string")).alias("submission_id"))
+    idx = lab.select(F.col("doc_id").alias("id"), F.when(F.col("doc_id") % 10 == 0, "NA").when(F.col("doc_id") % 7 == 0, "").otherwise((F.col("quality") + F.col("toxic")).cast("string")).alias("submission_id"))
+    return cat, idx
+
+
+@query(_VERSION_CTE + "SELECT c.id, c.submission_id FROM c LEFT JOIN k ON k.id = c.id WHERE c.submission_id IS DISTINCT FROM k.submission_id")
+def version_skip(spark, sf_dir):
+    return C.changed(*_versions(spark, sf_dir))
+
+
+@query(_VERSION_CTE + "SELECT count(*) FILTER (c.submission_id IS NOT DISTINCT FROM k.submission_id) AS unchanged, count(*) FILTER (c.submission_id IS DISTINCT FROM k.submission_id) AS to_transform FROM c LEFT JOIN k ON k.id = c.id")
+def version_skip_counts(spark, sf_dir):
+    return C.change_counts(*_versions(spark, sf_dir))
+
+
+@query("""
+WITH r AS (SELECT 'S' || s_suppkey AS id, row_number() OVER (ORDER BY s_suppkey) - 1 AS rank FROM supplier)
+SELECT rank % 7 AS shard, string_agg(id, ' ' ORDER BY rank) AS acronyms FROM r GROUP BY rank % 7
+""")
+def shard_plan(spark, sf_dir):
+    s = I.table(spark, sf_dir, "supplier").select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("id"), F.col("s_suppkey").alias("pos"))
+    return C.shard_plan(s, 7)
+
+
+_GIANT_LIST = ", ".join(f"'{g}'" for g in V.GIANTS)
+_ACR = "CASE p_size % 5 WHEN 0 THEN ' mesh' WHEN 1 THEN 'Go' WHEN 2 THEN chr(9) || 'ncit' || chr(10) WHEN 3 THEN 'HP' ELSE 'rh-mesh ' END"
+
+
+@query(f"SELECT p_partkey, {_ACR} AS id FROM part WHERE upper(regexp_replace({_ACR}, '^\\s+|\\s+$', '', 'g')) NOT IN ({_GIANT_LIST})")
+def skiplist_filter(spark, sf_dir):
+    k = F.col("p_size") % 5
+    a = F.when(k == 0, " mesh").when(k == 1, "Go").when(k == 2, "\tncit\n").when(k == 3, "HP").otherwise("rh-mesh ")
+    return C.drop_skiplisted(I.table(spark, sf_dir, "part").select("p_partkey", a.alias("id")))
+
+
+@query("""
+SELECT user_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS r FROM events) WHERE r = 1
+""")
+def last_of_each(spark, sf_dir):
+    e = I.table(spark, sf_dir, "events").select("user_id", "event_type", "value", "event_id")
+    return C.last_of_each(e, "user_id", "event_id").select("user_id", "event_type", "value")
+
+
+@query("SELECT 'U' || user_id AS id, arg_max(event_type, event_id) AS submission_id, min(event_id) AS pos FROM events GROUP BY user_id")
+def catalogue_submissions(spark, sf_dir):
+    e = I.table(spark, sf_dir, "events")
+    return C.submissions(e.select(F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("id"), F.col("event_type").alias("submission_id"), F.col("event_id").alias("pos")))
+
+
+@query("""
+SELECT p_partkey, p_size * 40 > 1000 AS too_large, false AS no_limit FROM part
+""")
+def size_gate(spark, sf_dir):
+    n = F.col("p_size") * 40
+    return I.table(spark, sf_dir, "part").select("p_partkey", C.too_large(n, 1000).alias("too_large"), C.too_large(n, 0).alias("no_limit"))
+
+
+# --- text and archives -----------------------------------------------------------------
+
+
+@query("""
+WITH m AS (SELECT lang, source, doc_id, CASE doc_id % 4 WHEN 0 THEN lang || '.OWL' WHEN 1 THEN source || '.ttl' WHEN 2 THEN '__MACOSX/._' || lang || '.owl' ELSE 'dir/readme' || doc_id || '.txt' END AS member, n_chars AS size FROM documents),
+r AS (SELECT *, CASE WHEN lower(member) LIKE lang || '.owl' THEN 1 WHEN member LIKE source || '.ttl' THEN 2 WHEN member LIKE '%.ttl' THEN 3 ELSE 4 END AS rule FROM m WHERE member NOT LIKE '\\_\\_MACOSX/%' ESCAPE '\\'),
+w AS (SELECT *, row_number() OVER (PARTITION BY lang, source ORDER BY rule, size DESC, member) AS k FROM r)
+SELECT lang, source, member, size FROM w WHERE k = 1
+""")
+def pick_member(spark, sf_dir):
+    k = F.col("doc_id") % 4
+    m = F.when(k == 0, F.concat("lang", F.lit(".OWL"))).when(k == 1, F.concat("source", F.lit(".ttl"))).when(k == 2, F.concat(F.lit("__MACOSX/._"), "lang", F.lit(".owl"))).otherwise(F.concat(F.lit("dir/readme"), F.col("doc_id").cast("string"), F.lit(".txt")))
+    rows = I.table(spark, sf_dir, "documents").select("lang", "source", m.alias("member"), F.col("n_chars").alias("size"), F.concat("lang", F.lit(".tar.gz")).alias("archive_path"))
+    return archives.pick_member(rows, ["lang", "source"], acronym="source").select("lang", "source", "member", "size")
+
+
+def _xml(html, k):
+    """Pages as RDF/XML with imports and language tags of different kinds."""
+    tag = F.element_at(F.array(*[F.lit(x) for x in ("en", "en-GB", "gmail.com", "", "en_US", "x-custom")]), (k % 6 + 1).cast("int"))
+    return F.concat(
+        F.lit('<?xml version="1.0"?>\n<rdf:RDF>\n  <owl:imports rdf:resource="http://x/a"/>\n'), F.when(k % 3 == 0, '  <owl:imports>\n<b/></owl:imports> \n').otherwise(""),
+        F.lit('<a xml:lang="'), tag, F.lit('">'), F.substring(html, 1, 500), F.lit("</a></rdf:RDF>"),
+    )
+
+
+_XML_SQL = """
+SELECT page_id, '<?xml version="1.0"?>' || chr(10) || '<rdf:RDF>' || chr(10) || CASE WHEN imp THEN '  <owl:imports rdf:resource="http://x/a"/>' || chr(10) ELSE '' END ||
+  CASE WHEN imp AND page_id % 3 = 0 THEN '  <owl:imports>' || chr(10) || '<b/></owl:imports> ' || chr(10) ELSE '' END ||
+  '<a' || CASE WHEN bad AND page_id % 6 IN (2, 4) THEN '' ELSE ' xml:lang="' || (['en', 'en-GB', 'gmail.com', '', 'en_US', 'x-custom'])[page_id % 6 + 1] || '"' END || '>' || left(html, 500) || '</a></rdf:RDF>' AS text FROM pages, (SELECT {} AS imp, {} AS bad)
+"""
+
+
+@query(_XML_SQL.format("false", "false").replace("page_id, ", "page_id, CAST(CASE WHEN page_id % 3 = 0 THEN 2 ELSE 1 END AS BIGINT) AS removed, ", 1))
+def strip_imports(spark, sf_dir):
+    t = I.table(spark, sf_dir, "pages").select("page_id", _xml(F.col("html"), F.col("page_id")).alias("t"))
+    return t.select("page_id", X.count_imports(F.col("t")).alias("removed"), X.strip_imports(F.col("t")).alias("text"))
+
+
+@query(_XML_SQL.format("true", "true"))
+def strip_langtag(spark, sf_dir):
+    t = I.table(spark, sf_dir, "pages").select("page_id", _xml(F.col("html"), F.col("page_id")).alias("t"))
+    return t.select("page_id", X.strip_bad_lang(F.col("t")).alias("text"))
+
+
+@query("""
+SELECT tag, count(*) AS n FROM (SELECT (['en', 'en-GB', 'gmail.com', '', 'en_US', 'x-custom'])[page_id % 6 + 1] AS tag FROM pages) WHERE tag IN ('gmail.com', 'en_US') GROUP BY tag
+""")
+def removed_tags(spark, sf_dir):
+    t = I.table(spark, sf_dir, "pages").select(_xml(F.col("html"), F.col("page_id")).alias("t"))
+    return t.select(F.explode(X.bad_langs(F.col("t"))).alias("tag")).groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(r"""
+SELECT doc_id, array_to_string(regexp_extract_all(text, '[^\x09-\x0d\x1c-\x20\x85\xa0]+')[1:3], ' ') AS version FROM documents WHERE regexp_matches(text, '[^\s]')
+""")
+def short_version(spark, sf_dir):
+    return I.table(spark, sf_dir, "documents").where(F.col("text").rlike(r"\S")).select("doc_id", X.short_version(F.col("text")).alias("version"))
+
+
+@query("""
+SELECT doc_id, CASE WHEN length(trim(text, chr(32) || chr(9) || chr(10) || chr(13))) > 110 THEN left(trim(text, chr(32) || chr(9) || chr(10) || chr(13)), 110) || '…' ELSE trim(text, chr(32) || chr(9) || chr(10) || chr(13)) END AS blurb,
+  replace(replace(replace(replace(replace(left(text, 80), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), chr(39), '&#x27;') AS escaped FROM documents
+""")
+def blurb_escape(spark, sf_dir):
+    return I.table(spark, sf_dir, "documents").select("doc_id", X.blurb(F.col("text")).alias("blurb"), X.html_escape(F.substring("text", 1, 80)).alias("escaped"))
+
+
+@query("""
+SELECT page_id, split_part(split_part(url, '//', -1), '/', 1) AS host, regexp_extract(regexp_replace(url, '/+$', ''), '[^/]*$', 0) AS last FROM pages
+""")
+def url_parts(spark, sf_dir):
+    return I.table(spark, sf_dir, "pages").select("page_id", X.url_host(F.col("url")).alias("host"), X.last_segment(F.col("url")).alias("last"))
+
+
+@query("""
+SELECT p_partkey, split_part(split_part('attachment; filename="' || p_name || '.owl"', 'filename=', 2), chr(0), 1).replace('"', '') AS filename, p_type AS category FROM part
+""")
+def header_filename(spark, sf_dir):
+    return I.table(spark, sf_dir, "part").select("p_partkey", X.header_filename(F.concat(F.lit('attachment; filename="'), "p_name", F.lit('.owl"'))).alias("filename"), X.short_category(F.concat(F.lit("biolink:"), "p_type")).alias("category"))
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN n >= 1000000 THEN printf('%.1fM', n / 1e6) WHEN n >= 1000 THEN printf('%.0fK', n / 1e3) ELSE CAST(n AS VARCHAR) END AS abbrev,
+  format('{:,}', n) AS commas FROM (SELECT o_orderkey, CAST(floor(o_totalprice) AS BIGINT) * (1 + o_orderkey % 13) AS n FROM orders)
+""")
+def number_formats(spark, sf_dir):
+    n = F.floor("o_totalprice").cast("long") * (1 + F.col("o_orderkey") % 13)
+    return I.table(spark, sf_dir, "orders").select("o_orderkey", N.abbrev(n).alias("abbrev"), N.commafy(n).alias("commas"))
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN n < 1024 THEN printf('%.0f B', n * 1.0) WHEN n < 1048576 THEN printf('%.1f KB', n / 1024.0) WHEN n < 1073741824 THEN printf('%.1f MB', n / 1048576.0) ELSE printf('%.1f GB', n / 1073741824.0) END AS size
+FROM (SELECT o_orderkey, o_orderkey * o_orderkey + 1 AS n FROM orders)
+""")
+def human_sizes(spark, sf_dir):
+    return I.table(spark, sf_dir, "orders").select("o_orderkey", N.human_size(F.col("o_orderkey") * F.col("o_orderkey") + 1).alias("size"))
+
+
+@query("SELECT page_id, 'p' || page_id || '.html' AS member, CAST(strlen(html) AS BIGINT) AS size, true AS ok, sha256(html) AS sha FROM pages")
+def archive_members(spark, sf_dir):
+    """Each page as a gzip file, and its members read back."""
+
+    @F.arrow_udf("binary")
+    def zipped(x: pa.Array) -> pa.Array:
+        return pa.array([gzip.compress((v or "").encode(), 1) for v in x.to_pylist()], pa.binary())
+
+    p = I.table(spark, sf_dir, "pages").select("page_id", zipped("html").alias("content"), F.concat(F.lit("P/1/p"), F.col("page_id").cast("string"), F.lit(".html.gz")).alias("path"))
+    m = p.select("page_id", F.explode(archives.members(F.col("content"), F.col("path"))).alias("m"))
+    return m.select("page_id", "m.member", "m.size", "m.ok", F.sha2("m.content", 256).alias("sha"))
+
+
+
+
+
+def _triples(spark, sf_dir):
+    """Suppliers as OWL classes below their nations, with a restriction on their region."""
+    s = I.table(spark, sf_dir, "supplier")
+    doc = F.concat(
+        F.lit('<rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns:rdfs="http://www.w3.org/2000/01/rdf-schema#" xmlns:owl="http://www.w3.org/2002/07/owl#"><owl:Class rdf:about="http://x/s'),
+        F.col("s_suppkey").cast("string"), F.lit('"><rdfs:label xml:lang="en">'), F.col("s_name"), F.lit('</rdfs:label><owl:equivalentClass><owl:Class><owl:intersectionOf rdf:parseType="Collection"><rdf:Description rdf:about="http://x/n'),
+        F.col("s_nationkey").cast("string"), F.lit('"/><owl:Restriction><owl:onProperty rdf:resource="http://x/in"/><owl:someValuesFrom rdf:resource="http://x/r'), (F.col("s_nationkey") % 5).cast("string"),
+        F.lit('"/></owl:Restriction></owl:intersectionOf></owl:Class></owl:equivalentClass></owl:Class></rdf:RDF>'),
+    )
+    t = s.select(rdf.triples(doc, F.col("s_suppkey").cast("string")).alias("t"))
+    return G.relax(t.select(F.explode("t.triples").alias("t")).select("t.*"))
+
+
+@query("SELECT 'http://x/s' || s_suppkey AS id, 'biolink:OntologyClass' AS category, s_name AS name FROM supplier")
+def rdf_nodes(spark, sf_dir):
+    return G.triple_nodes(_triples(spark, sf_dir)).select("id", "category", "name")
+
+
+@query("""
+SELECT 'http://x/s' || s_suppkey AS subject, 'biolink:subclass_of' AS predicate, 'http://x/n' || s_nationkey AS object FROM supplier
+UNION ALL SELECT 'http://x/s' || s_suppkey, 'biolink:related_to', 'http://x/r' || (s_nationkey % 5) FROM supplier
+""")
+def rdf_edges(spark, sf_dir):
+    return G.triple_edges(_triples(spark, sf_dir)).select("subject", "predicate", "object")
+
+
+@query("""
+SELECT count(*) * 2 AS classes, count(*) AS equivalences, count(*) * 2 AS subclass_axioms FROM supplier
+""")
+def rdf_metrics(spark, sf_dir):
+    return G.metrics(_triples(spark, sf_dir)).select("classes", "equivalences", "subclass_axioms")
+
+
+# --- browse --------------------------------------------------------------------------------
+
+
+@query(f"""
+WITH p AS ({I.PRODUCT_SQL}), g AS (SELECT * FROM p WHERE category = 'GraphProduct')
+SELECT 'R' || k.k AS id, (SELECT max(node_count) FROM g WHERE g.k = k.k) AS nodes, (SELECT max(edge_count) FROM g WHERE g.k = k.k) AS edges, (SELECT CAST(max(ncat) AS INTEGER) FROM g WHERE g.k = k.k) AS n_categories,
+  coalesce((SELECT arg_min(g.id, (-node_count, i)) FROM g WHERE g.k = k.k AND node_count IS NOT NULL), (SELECT arg_min(g.id, i) FROM g WHERE g.k = k.k)) AS best
+FROM (SELECT DISTINCT k FROM p) k
+""")
+def graph_metrics(spark, sf_dir):
+    r = I.resources(spark, sf_dir)
+    m = B.metrics(F.col("products"))
+    return r.select("id", m["nodes"].alias("nodes"), m["edges"].alias("edges"), F.when(m["categories"].isNotNull(), F.size(m["categories"])).alias("n_categories"), B.primary_product(F.col("products"))["id"].alias("best"))
+
+
+@query(f"""
+WITH p AS ({I.PRODUCT_SQL}), f AS (SELECT k, format, min(i) AS i FROM p WHERE format <> '' GROUP BY k, format)
+SELECT 'R' || k AS id, string_agg(format, ',' ORDER BY i) AS fmts FROM f GROUP BY k
+""")
+def graph_formats(spark, sf_dir):
+    return I.resources(spark, sf_dir).select("id", F.array_join(B.formats(F.col("products")), ",").alias("fmts")).where("fmts <> ''")
+
+
+@query(f"""
+WITH p AS ({I.PRODUCT_SQL}) SELECT DISTINCT source, 'R' || k AS resource FROM p
+WHERE source <> 'R' || k AND source IN (SELECT 'R' || k FROM p WHERE k % 2 = 0)
+""")
+def reverse_index(spark, sf_dir):
+    return B.reverse_index(I.resources(spark, sf_dir)).select("source", "resource")
+
+
+@query(f"""
+WITH p AS ({I.PRODUCT_SQL}), u AS (SELECT source, 'R' || k AS resource, min((k, i)) AS first FROM p WHERE source <> 'R' || k AND source IN (SELECT 'R' || k FROM p WHERE k % 2 = 0) GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY first) AS n FROM u)
+SELECT source, string_agg(resource, ' ' ORDER BY n) AS users FROM r WHERE n <= 8 GROUP BY source
+""")
+def used_by(spark, sf_dir):
+    return B.used_by(B.reverse_index(I.resources(spark, sf_dir))).select("source", F.array_join("users", " ").alias("users"))
+
+
+def _doc_items(spark, sf_dir):
+    d = I.table(spark, sf_dir, "documents")
+    ok = F.col("n_chars") % 4 != 0
+    return d.select(
+        F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("acr"), F.concat("source", F.lit(" "), "lang", F.lit(" "), F.col("doc_id").cast("string")).alias("name"),
+        F.col("source"), F.lit("Doc").alias("source_label"), F.array("lang").alias("domains"), F.array(F.lit("kgx")).alias("fmts"), ok.alias("ok"), F.when(ok, F.col("n_chars")).alias("nodes"), F.when(ok, F.col("n_chars") * 2).alias("edges"),
+        F.col("doc_id").alias("pos"), F.lit("").alias("reason"), F.when(F.col("doc_id") % 5 == 0, "").otherwise("u").alias("download_url"), F.lit("x").alias("href"),
+    )
+
+
+@query("""
+SELECT 'source' AS facet, source AS value, count(*) AS n FROM documents GROUP BY ALL UNION ALL SELECT 'domain', lang, count(*) FROM documents GROUP BY ALL
+""")
+def facet_counts(spark, sf_dir):
+    return B.facet_counts(_doc_items(spark, sf_dir))
+
+
+@query("SELECT event_type AS value, count(*) AS n FROM events GROUP BY event_type ORDER BY count(*) DESC, min(event_id) LIMIT 12")
+def domain_top12(spark, sf_dir):
+    e = I.table(spark, sf_dir, "events").select(F.col("event_id").alias("pos"), F.array("event_type").alias("domains"))
+    return B.top_values(e, "domains", 12)
+
+
+@query("SELECT 'd' || doc_id AS id, n_chars AS nodes FROM documents WHERE n_chars % 4 <> 0 ORDER BY n_chars DESC, doc_id LIMIT 10")
+def top10_nodes(spark, sf_dir):
+    return B.top_by(_doc_items(spark, sf_dir), "nodes").select("id", "nodes")
+
+
+@query("SELECT 'd' || doc_id AS id FROM documents WHERE contains(lower(source || ' ' || lang || ' ' || doc_id || ' D' || doc_id || ' d' || doc_id || ' Doc ' || lang || ' kgx'), 'src1 e') AND lang = 'en' AND source = 'src1'")
+def browse_filter(spark, sf_dir):
+    return B.browse_filter(_doc_items(spark, sf_dir), "SRC1 E", "en", "src1").select("id")
+
+
+@query("""
+SELECT 'd' || doc_id AS id FROM (SELECT doc_id, 'd' || doc_id AS acr, source || ' ' || lang || ' ' || doc_id AS name FROM documents)
+WHERE contains(acr, '1') OR contains(name, '1') ORDER BY CASE WHEN starts_with(acr, '1') OR starts_with(name, '1') THEN 0 ELSE 1 END, doc_id LIMIT 10
+""")
+def search_suggest(spark, sf_dir):
+    return B.suggest(_doc_items(spark, sf_dir), "1").select("id")
+
+
+@query("SELECT 'D' || doc_id AS a, source || ' ' || lang || ' ' || doc_id AS n, 'x' AS h, 'Doc' AS s FROM documents")
+def search_index(spark, sf_dir):
+    return B.search_index(_doc_items(spark, sf_dir))
+
+
+@query("""
+SELECT count(*) FILTER (n_chars % 4 <> 0) AS ok, count(*) FILTER (n_chars % 4 = 0) AS failed, CAST(0 AS BIGINT) AS skipped, CAST(5 AS BIGINT) AS licensed,
+  CAST(sum(n_chars) FILTER (n_chars % 4 <> 0) AS BIGINT) AS nodes, CAST(77 AS BIGINT) AS edges, count(*) + 5 AS attempted FROM documents
+""")
+def summary(spark, sf_dir):
+    t = spark.range(1).select(F.lit(1).cast("long").alias("failedcount"), F.lit(None).cast("long").alias("skippedcount"), F.lit(5).cast("long").alias("licensedcount"), F.lit(None).cast("long").alias("totalnodecount"), F.lit(77).cast("long").alias("totaledgecount"))
+    out = B.summary(_doc_items(spark, sf_dir), t)
+    return out.select(*[F.col(c).cast("long").alias(c) for c in out.columns])
+
+
+@query("SELECT 'd' || doc_id AS id, CASE WHEN n_chars % 4 = 0 THEN 'explained' WHEN doc_id % 5 = 0 THEN 'unlocated' ELSE 'download' END AS state FROM documents")
+def page_state(spark, sf_dir):
+    return B.page_state(_doc_items(spark, sf_dir)).select("id", "state")
+
+
+@query("""
+SELECT 'd' || doc_id AS id, greatest(n_chars / m * 100, 0.8) AS bar FROM documents, (SELECT CAST(max(n_chars) AS DOUBLE) AS m FROM documents)
+""")
+def bar_percent(spark, sf_dir):
+    d = I.table(spark, sf_dir, "documents")
+    top = d.agg(F.max("n_chars").cast("double").alias("m"))
+    return d.join(F.broadcast(top)).select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), N.bar_percent(F.col("n_chars"), F.col("m")).alias("bar"))
+
+
+@query(I.INDEX_SQL + """
+SELECT 'registry' AS source, 'R' || k AS id, 'R' || k AS acr, CASE WHEN k % 6 <> 0 THEN 'Resource ' || k ELSE 'R' || k END AS name, CASE WHEN k % 4 = 0 THEN 'active' ELSE '—' END AS status_label, CASE WHEN k % 4 = 0 THEN 'ok' ELSE 'warn' END AS status_cls, '2024-05-06' AS updated
+FROM (SELECT DISTINCT l_suppkey % 200 AS k FROM lineitem WHERE l_linenumber = 1) WHERE k % 2 = 0
+UNION ALL SELECT 'catalogue', id, upper(id), name, status, CASE WHEN status = 'OK' THEN 'ok' ELSE 'warn' END, '2025-01-01' FROM idx
+""")
+def browse_items(spark, sf_dir):
+    index = C.index_overlay(I.base_index(spark, sf_dir), I.fragments(spark, sf_dir), "new")
+    both = B.items(B.graph_items(I.resources(spark, sf_dir)), B.ontology_items(index, "2025-01-01"))
+    return both.select("source", "id", "acr", "name", "status_label", "status_cls", "updated")
