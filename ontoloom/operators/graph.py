@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ontoloom.durable import materialize
+
 NODE_SPEC = (
     # table, key column, category, name column
     ("region", "r_regionkey", "Region", "r_name"),
@@ -110,13 +112,16 @@ def reachable(edges: DataFrame, start: DataFrame, depth: int) -> DataFrame:
     """(start, id, hops): what can be reached along edges in at most ``depth`` hops, by the shortest way.
 
     The bound also ends walks in cycles. Each hop joins the frontier with the
-    edges; ids that were reached before don't go on.
+    edges; ids that were reached before don't go on. A hop is written before the
+    next one, so that neither the plan nor what a lost executor costs grows.
     """
     e = edges.select(F.col("subject").alias("_s"), F.col("object").alias("_o")).distinct()
-    seen = front = start.select(F.col("id").alias("start"), F.col("id"), F.lit(0).alias("hops")).distinct()
+    seen = front = materialize(start.select(F.col("id").alias("start"), F.col("id"), F.lit(0).alias("hops")).distinct(), "start")
     for hop in range(1, depth + 1):
         step = front.join(e, F.col("id") == F.col("_s")).select("start", F.col("_o").alias("id")).distinct()
-        front = step.join(seen.select("start", "id"), ["start", "id"], "left_anti").withColumn("hops", F.lit(hop))
+        front = materialize(step.join(seen.select("start", "id"), ["start", "id"], "left_anti").withColumn("hops", F.lit(hop)), "hop")
+        if front.isEmpty():
+            break
         seen = seen.unionByName(front)
     return seen
 
