@@ -16,7 +16,8 @@ rules, and shuffled otherwise.
 Defined cases: host and path are empty for a null URL and one without
 ``://``; such a URL, and one that no rule fits, has a null rule and the
 default verdict. Of repeated rules an allowing one counts. Repeated rows and
-null ids each keep their row. Extra columns pass through.
+null ids each keep their row. Extra columns pass through; columns named
+host, path, rule or verdict are replaced.
 """
 
 from __future__ import annotations
@@ -69,18 +70,18 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = ALLOW, page_id: str
     # distinct path lengths: as many as the longest path of a rule has letters, at most
     lengths = sorted(r[0] for r in rules.select(F.length("key") - F.col("host_len")).distinct().collect())
 
-    base = canonical(pages, url)
+    base = canonical(pages.drop("rule", "verdict"), url)
     labels = F.split("host", r"\.")
     n = F.size(labels)
     suffixes = F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(labels, i, n), "."))
-    rows = base.where("host <> ''").select(F.col(page_id).alias("pid"), F.col(url).alias("u"), "path", F.explode(suffixes).alias("suffix"))
+    rows = base.where("host <> ''").select(F.col(page_id).alias("__id"), F.col(url).alias("__url"), "path", F.explode(suffixes).alias("suffix"))
     fits = F.filter(F.array(*[F.lit(x) for x in lengths]) if lengths else F.array().cast("array<int>"), lambda x: x <= F.length("path"))
-    rows = rows.select("pid", "u", "suffix", "path", F.explode(fits).alias("take"))
-    rows = rows.select("pid", "u", F.concat("suffix", F.expr("substring(path, 1, take)")).alias("cand")).withColumn("h", F.xxhash64("cand"))
-    possible = bloom.hits(rows, "h", filt, blocks, "maybe").where("maybe").select("pid", "u", "cand")
+    rows = rows.select("__id", "__url", "suffix", "path", F.explode(fits).alias("take"))
+    rows = rows.select("__id", "__url", F.concat("suffix", F.expr("substring(path, 1, take)")).alias("cand")).withColumn("h", F.xxhash64("cand"))
+    possible = bloom.hits(rows, "h", filt, blocks, "maybe").where("maybe").select("__id", "__url", "cand")
     listed = F.broadcast(rules) if total <= BROADCAST_RULES else rules
     true = possible.join(listed, F.col("cand") == F.col("key"))
-    best = true.groupBy("pid", "u").agg(F.max(F.struct(F.length("key").alias("n"), "host_len", "key", "verdict")).alias("best"))
-    out = base.join(best, F.col(page_id).eqNullSafe(F.col("pid")) & (F.col(url) == F.col("u")), "left")
+    best = true.groupBy("__id", "__url").agg(F.max(F.struct(F.length("key").alias("n"), "host_len", "key", "verdict")).alias("__best"))
+    out = base.join(best, F.col(page_id).eqNullSafe(F.col("__id")) & (F.col(url) == F.col("__url")), "left")
     keep = [F.col(c) for c in base.columns]
-    return out.select(*keep, F.col("best.key").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
+    return out.select(*keep, F.col("__best.key").alias("rule"), F.coalesce("__best.verdict", F.lit(default)).alias("verdict"))
