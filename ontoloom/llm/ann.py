@@ -43,7 +43,7 @@ SUB_DIM = 2
 PROBE = 0.75
 LEAST = 2_048
 RERANK = 256
-QUERY_BLOCK = 2_048
+QUERY_BLOCK = 1_024
 STEPS = 8
 
 
@@ -90,8 +90,8 @@ class Quantiser:
         return cell, code.astype(np.uint8), bias
 
     def tables(self, q: np.ndarray) -> np.ndarray:
-        """subspaces x codewords x queries: the inner products of queries and codewords."""
-        return np.einsum("mcd,qmd->mcq", self.books, self.split(q))
+        """subspaces x codewords x queries: the inner products of queries and codewords, 32 MiB at most for 64 components."""
+        return np.einsum("mcd,qmd->mcq", self.books, self.split(q)).astype(np.float32)
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -185,7 +185,7 @@ def candidates(codes: DataFrame, quantiser: Quantiser, qid: np.ndarray, q: np.nd
                     qs = np.flatnonzero(on[:, cell[lo]])
                     if not len(qs):
                         continue
-                    dot = np.zeros((hi2 - lo2, len(qs)))
+                    dot = np.zeros((hi2 - lo2, len(qs)), np.float32)
                     for m in range(code.shape[1]):
                         dot += t[m][code[lo2:hi2, m]][:, qs]
                     d = far[qs, cell[lo]][None] + bias[lo2:hi2, None] - 2 * dot
