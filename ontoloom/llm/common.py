@@ -80,7 +80,8 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: i
 
     The bound is the classifiers' documented sample: the ids first in the
     order of a hash are taken, the same ones at each run. Labels that are
-    null take no part; of contradicting ones the largest counts.
+    null take no part; of contradicting ones the largest counts, of texts that
+    share an id the least.
     """
     train = fold(F.col("doc_id"), folds) != held
     ids = docs.select("doc_id").where(train).distinct()
@@ -91,4 +92,5 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: i
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     )
     picked = materialize(picked, "labelled")  # rows are bounded, so the broadcast is
-    return docs.select("doc_id", whole(F.col("text")).alias("text")).join(F.broadcast(picked), "doc_id")
+    rows = docs.select("doc_id", whole(F.col("text")).alias("text")).join(F.broadcast(picked), "doc_id")
+    return rows.groupBy("doc_id", "y").agg(F.min("text").alias("text"))

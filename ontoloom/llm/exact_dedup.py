@@ -53,10 +53,16 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     first = F.col("id").eqNullSafe(F.col("keep_id"))
     several = first & (F.col("ties") > 1)
     rows = met.where(~several).select("id", "keep_id", F.col("size").alias("group_size"), first.alias("kept"), "sha")
+    if groups.where("ties > 1").isEmpty():
+        return _named(alone.unionByName(rows), id_col)
     tied = groups.where("ties > 1").select(
         F.col("keep_id").alias("id"), "keep_id", F.col("size").alias("group_size"), F.explode(F.sequence(F.lit(1).cast("long"), "ties")).alias("k"), "sha"
     ).select("id", "keep_id", "group_size", (F.col("k") == 1).alias("kept"), "sha")
-    return alone.unionByName(rows).unionByName(tied).select(F.col("id").alias(id_col), "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"))
+    return _named(alone.unionByName(rows).unionByName(tied), id_col)
+
+
+def _named(rows: DataFrame, id_col: str) -> DataFrame:
+    return rows.select(F.col("id").alias(id_col), "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"))
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -69,5 +75,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     alone = tested.where("not maybe").select("row")
     met = tested.where("maybe").join(groups, "sha").where(F.col("id").eqNullSafe(F.col("keep_id")))
     single = met.where("ties = 1").select("row")
+    if groups.where("ties > 1").isEmpty():
+        return alone.unionByName(single).select("row.*")
     tied = met.where("ties > 1").groupBy("sha").agg(F.first("row").alias("row")).select("row")
     return alone.unionByName(single).unionByName(tied).select("row.*")
