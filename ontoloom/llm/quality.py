@@ -33,7 +33,7 @@ from .common import labelled, materialize, whole
 
 SAMPLE_ROWS = 12_000
 DICT_BLOCKS = 4_000
-DICT_BYTES = 64 << 10
+DICT_BYTES = 112 << 10
 BLOCK = 2048
 LEVEL = 3
 #: Bytes added below a fraction, so that a text of a few words can't have an extreme one.
