@@ -16,7 +16,7 @@ from ontoloom.operators import browse as B
 from ontoloom.operators import catalog as C
 from ontoloom.operators import graph as G
 from ontoloom.plans import inputs as I
-from ontoloom.sources import archives, rdf
+from ontoloom.sources import archives, rdf, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -577,3 +577,94 @@ def browse_items(spark, sf_dir):
     index = C.index_overlay(I.base_index(spark, sf_dir), I.fragments(spark, sf_dir), "new")
     both = B.items(B.graph_items(I.resources(spark, sf_dir)), B.ontology_items(index, "2025-01-01"))
     return both.select("source", "id", "acr", "name", "status_label", "status_cls", "updated")
+
+
+# --- lookups and small rules ------------------------------------------------------------------
+
+
+@query("SELECT doc_id FROM labels WHERE doc_id % 3 = 1 AND toxic = 1")
+def flagged(spark, sf_dir):
+    flag = F.when(F.col("doc_id") % 3 == 1, F.col("toxic") == 1)
+    return tables.flagged(I.table(spark, sf_dir, "labels").select("doc_id", flag.alias("test_set")), "test_set").select("doc_id")
+
+
+@query("SELECT 'S' || s_suppkey AS id FROM supplier UNION ALL SELECT 'S' || c_custkey FROM customer")
+def requested(spark, sf_dir):
+    ids = lambda t, k: I.table(spark, sf_dir, t).select(F.concat(F.lit("S"), F.col(k).cast("string")).alias("id"))
+    return tables.requested(ids("customer", "c_custkey"), ids("supplier", "s_suppkey"), ids("nation", "n_nationkey"))
+
+
+_FORMATS = ("kgx", "kgx-jsonl", "json", "rdfxml", "neo4j", "sqlite", "odd", "")
+
+
+@query(
+    "SELECT p_partkey, CASE p_partkey % 8 WHEN 0 THEN 'kgx' WHEN 1 THEN 'jsonl' WHEN 2 THEN 'jsonl' WHEN 3 THEN 'rdf' WHEN 4 THEN 'neo4j' WHEN 5 THEN 'duckdb' ELSE 'kgx' END AS cls FROM part"
+)
+def format_classes(spark, sf_dir):
+    fmt = F.element_at(F.array(*[F.lit(x) for x in _FORMATS]), (F.col("p_partkey") % 8 + 1).cast("int"))
+    return I.table(spark, sf_dir, "part").select("p_partkey", B.format_class(fmt).alias("cls"))
+
+
+@query(
+    f"SELECT id, CASE reason WHEN 'license_restricted' THEN '{V.REASON_TEXT['license_restricted'].replace(chr(39), chr(39) * 2)}' WHEN 'too_large' THEN '{V.REASON_TEXT['too_large']}' WHEN 'no_submission' THEN '{V.REASON_TEXT['no_submission']}' ELSE '{V.REASON_TEXT_DEFAULT}' END AS message FROM ({I.REPORT_SQL})"
+)
+def reason_messages(spark, sf_dir):
+    return I.report(spark, sf_dir).select("id", B.reason_text(F.col("reason")).alias("message"))
+
+
+@query("""
+WITH t AS (SELECT p_brand AS id, list_sort(list_distinct(list(p_type || p_size))) AS p FROM part GROUP BY p_brand)
+SELECT id, array_to_string(p[1:24], ',') AS shown, CAST(greatest(len(p) - 24, 0) AS INTEGER) AS more FROM t
+""")
+def predicate_overview(spark, sf_dir):
+    t = I.table(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("id")).agg(F.collect_set(F.concat("p_type", F.col("p_size").cast("string"))).alias("p"))
+    o = B.predicate_list(F.col("p"))
+    return t.select("id", F.array_join(o["shown"], ",").alias("shown"), o["more"].alias("more"))
+
+
+@query("""
+SELECT n_nationkey, CASE WHEN n > 0 THEN CAST(n AS DOUBLE) / w * 100 END AS pct FROM (SELECT n_nationkey, (SELECT count(*) FROM supplier WHERE s_nationkey = n_nationkey) AS n, (SELECT count(*) FROM supplier) AS w FROM nation)
+""")
+def segments(spark, sf_dir):
+    s = I.table(spark, sf_dir, "supplier")
+    n = s.groupBy("s_nationkey").agg(F.count(F.lit(1)).alias("n"))
+    whole = s.agg(F.count(F.lit(1)).alias("w"))
+    met = I.table(spark, sf_dir, "nation").join(n, F.col("n_nationkey") == F.col("s_nationkey"), "left").join(F.broadcast(whole))
+    return met.select("n_nationkey", N.segment_percent(F.coalesce("n", F.lit(0)), F.col("w")).alias("pct"))
+
+
+@query("""
+SELECT o_custkey AS id, arg_min(o_orderpriority, o_orderkey) FILTER (o_orderstatus = 'F') AS email FROM orders GROUP BY o_custkey
+""")
+def contact_lookup(spark, sf_dir):
+    d = F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderstatus", "o_orderpriority"))), lambda x: F.struct(x["o_orderstatus"].alias("contact_type"), x["o_orderpriority"].alias("value")))
+    c = I.table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("id")).agg(d.alias("d"))
+    return c.select("id", B.contact_value(F.col("d"), "F").alias("email"))
+
+
+@query(r"SELECT event_id, tag = '' OR regexp_full_match(tag, '[a-zA-Z]+(-[a-zA-Z0-9]+)*') AS valid FROM (SELECT event_id, (['en', 'en-GB', 'gmail.com', '', 'en_US', 'x-custom', '3', 'en-', '-en', 'en--GB'])[event_id % 10 + 1] AS tag FROM events)")
+def valid_tags(spark, sf_dir):
+    tag = F.element_at(F.array(*[F.lit(x) for x in ("en", "en-GB", "gmail.com", "", "en_US", "x-custom", "3", "en-", "-en", "en--GB")]), (F.col("event_id") % 10 + 1).cast("int"))
+    return I.table(spark, sf_dir, "events").select("event_id", X.valid_lang(tag).alias("valid"))
+
+
+@query("""
+WITH m AS (SELECT user_id, max(event_id) AS last FROM events GROUP BY user_id)
+SELECT 's' || (e.event_id % 9) AS provided_by, 'infores:any' AS aggregator_knowledge_source, count(*) AS n FROM events e JOIN m ON m.user_id = e.user_id WHERE e.event_id < m.last GROUP BY ALL
+""")
+def stamped(spark, sf_dir):
+    e = I.table(spark, sf_dir, "events")
+    last = e.groupBy("user_id").agg(F.max("event_id").alias("last"))
+    old = e.join(last, "user_id").where("event_id < last")
+    parts = [G.stamp(old.where(F.col("event_id") % 9 == k), f"s{k}", "infores:any") for k in range(9)]
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.unionByName(p)
+    return every.groupBy("provided_by", "aggregator_knowledge_source").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT count(*) AS missing_label, count(*) FILTER (s_suppkey < 0) AS no_parent FROM supplier")
+def rdf_quality(spark, sf_dir):
+    t = _triples(spark, sf_dir).where(F.col("p") != G.RDFS + "label")
+    r = G.quality_report(t)
+    return r.agg(F.count_if(F.col("rule") == "missing_label").alias("missing_label"), F.count_if(F.col("rule") == "no_parent").alias("no_parent"))

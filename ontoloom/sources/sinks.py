@@ -89,3 +89,22 @@ def shards_json(plan: DataFrame) -> str:
 
 def search_json(index: DataFrame, path: str) -> None:
     _put(index, path, json.dumps([r.asDict() for r in index.toLocalIterator()], separators=(",", ":"), ensure_ascii=False).encode())
+
+
+def raw_files(downloads: DataFrame, root: str) -> None:
+    """Downloaded files as Parquet rows (path, id, submission_id, content) under ``root``, a folder for each id.
+
+    The path <id>/<submission>/<filename> stays the key.
+    """
+    path = F.concat_ws("/", "id", "submission_id", F.coalesce("filename", F.col("id")))
+    downloads.where(F.col("content").isNotNull()).select(path.alias("path"), "id", "submission_id", "content").write.mode("overwrite").partitionBy("id").parquet(root)
+
+
+def stats_yaml(facets: DataFrame, path: str, name: str) -> None:
+    """Facet counts of a merged graph: kind, facet, key, value. As many entries as there are facets' values."""
+    import yaml
+
+    tree: dict = {}
+    for r in facets.orderBy("kind", "facet", "key", "value").toLocalIterator():
+        tree.setdefault(f"{r.kind}_stats", {}).setdefault(r.facet, {}).setdefault(r.key, {})[r.value] = r.n
+    _put(facets, path, yaml.safe_dump({"graph_name": name, **tree}, sort_keys=False).encode())

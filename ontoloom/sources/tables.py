@@ -96,3 +96,36 @@ def whole_text(spark: SparkSession, path: str) -> DataFrame:
     """(path, text): files as text, bytes that aren't UTF-8 replaced."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     return files.select("path", F.decode("content", "UTF-8").alias("text"))
+
+
+def totals(spark: SparkSession, path: str) -> DataFrame:
+    """The totals beside an index as one row of text columns; no row if the file is missing."""
+    names = ("totalcount", "skippedcount", "failedcount", "licensedcount", "totalnodecount", "totaledgecount")
+    schema = ", ".join(f"{n} bigint" for n in names) + ", transform_date string"
+    if not exists(spark, path):
+        return spark.createDataFrame([], schema)
+    lines = spark.read.text(path).select(F.split("value", r":\s*", 2).alias("kv")).where(F.size("kv") == 2)
+    value = lambda n: F.max(F.when(F.get("kv", F.lit(0)) == n, F.regexp_replace(F.get("kv", F.lit(1)), "^['\"]|['\"]$", "")))
+    out = lines.agg(*[value(n).alias(n) for n in (*names, "transform_date")])
+    return out.select(*[F.col(n).try_cast("bigint").alias(n) for n in names], "transform_date")
+
+
+FLAGS = "name string, is_umls boolean, test_set boolean"
+
+
+def test_list(spark: SparkSession, path: str, key: str = "ontologies") -> DataFrame:
+    """A YAML list of ontologies with optional flags; a flag that isn't there is null."""
+    return yaml_rows(spark, path, key, FLAGS)
+
+
+def flagged(df: DataFrame, flag: str) -> DataFrame:
+    """Rows whose flag is set; a missing flag counts as unset."""
+    return df.where(F.coalesce(F.col(flag), F.lit(False)))
+
+
+def requested(listed: DataFrame | None, given: DataFrame | None, catalogue_: DataFrame) -> DataFrame:
+    """The acronyms to work on: file list and literal list together, repeats kept; the catalogue if there is neither."""
+    parts = [d.select("id") for d in (given, listed) if d is not None]
+    if not parts:
+        return catalogue_.select("id")
+    return parts[0].unionByName(parts[1]) if len(parts) == 2 else parts[0]

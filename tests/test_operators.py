@@ -265,7 +265,15 @@ def test_tables_round_trip(spark, tmp_path):
     back = tables.index(spark, str(tmp_path / "i.yaml"))
     assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, idx.collect()), key=str)
     sinks.totals_yaml(catalog.totals(idx), str(tmp_path / "t.yaml"), "2026-01-01")
-    assert "transform_date: '2026-01-01'" in (tmp_path / "t.yaml").read_text()
+    assert tuple(tables.totals(spark, str(tmp_path / "t.yaml")).first()) == (2, 0, 0, 0, 20, 40, "2026-01-01")
+    assert tables.totals(spark, str(tmp_path / "none.yaml")).count() == 0
+    (tmp_path / "f.yaml").write_text("ontologies:\n- name: A\n  test_set: true\n- name: B\n")
+    assert [r.name for r in tables.flagged(tables.test_list(spark, str(tmp_path / "f.yaml")), "test_set").collect()] == ["A"]
+    facets = spark.createDataFrame([("node", "provided_by", "s1", "Class", 3)], "kind string, facet string, key string, value string, n long")
+    sinks.stats_yaml(facets, str(tmp_path / "s.yaml"), "g")
+    assert "Class: 3" in (tmp_path / "s.yaml").read_text()
+    sinks.raw_files(spark.createDataFrame([("GO", "7", "go.owl", bytearray(b"x")), ("HP", "1", None, None)], "id string, submission_id string, filename string, content binary"), str(tmp_path / "raw"))
+    assert [(r.path, r.id) for r in spark.read.parquet(str(tmp_path / "raw")).collect()] == [("GO/7/go.owl", "GO")]
     sinks.manifest(catalog.url_manifest(idx), str(tmp_path / "m.tsv"))
     assert (tmp_path / "m.tsv").read_text() == "id\tdownload_url\nB\tu\n"
     sinks.bundle(spark.createDataFrame([("n1", ["b", "a"])], "id string, category array<string>"), spark.createDataFrame([("n1", "n2")], "subject string, object string"), str(tmp_path / "g.tar.gz"), "G")
