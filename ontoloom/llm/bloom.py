@@ -113,6 +113,8 @@ class _Seen:
 def twice_filter(keys: DataFrame, h: str, blocks: int) -> DataFrame:
     """The filter of the bits that two or more rows set: a hash that occurs twice always passes it.
 
+    ``h`` is a column of hashes, or of lists of hashes.
+
     First pass of the two: each task folds its rows into a filter, and the
     filters meet block by block, so a block needs as many rows as there are
     tasks and no task more than two filters of memory.
@@ -121,7 +123,9 @@ def twice_filter(keys: DataFrame, h: str, blocks: int) -> DataFrame:
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = _Seen(blocks)
         for b in batches:
-            seen.keys(b.column(0).drop_null().to_numpy(zero_copy_only=False).view(np.uint64))
+            col = b.column(0)
+            col = col.flatten() if pa.types.is_list(col.type) else col
+            seen.keys(col.drop_null().to_numpy(zero_copy_only=False).view(np.uint64))
         yield from seen.rows(False)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -10,11 +10,15 @@ similarity, with concentration as of independent draws.
 
 Bands of ``ROWS`` coordinates make buckets. Equal sets are one node from the
 start. In each bucket all nodes are compared with one pivot, never with each
-other; pairs are settled on the full sets; then only buckets whose nodes still
-lie in different components go on, and there each node outside the bucket's
-largest component is compared with the nodes of the other components. So each
-pair that shares a bucket is either settled or already connected, and no
-bucket is capped. A pair at the limit of similarity 0.85 shares a bucket with
+other; pairs are settled on the full sets. The nodes of buckets that
+still hold several components then go through an exact filter: with all
+shingles in one order from rare to frequent, similar sets must share a shingle
+that comes early in both, and how early follows from their sizes (prefix and
+positional filters of Xiao et al. 2008). Documents that share a frequent
+passage only, and copies of one text that differ in too many places, hardly
+meet there. Nodes that do and lie in different components are compared. So each pair that shares a bucket is
+settled, ruled out exactly, or already connected, and no bucket is capped. A
+pair at the limit of similarity 0.85 shares a bucket with
 probability 1 - (1 - 0.85**ROWS)**BANDS, about 1 - 7e-7.
 
 Defined cases: a text of fewer words than a shingle is one shingle; a null,
@@ -34,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import graph
+from . import bloom, graph
 from .common import materialize, whole
 
 BANDS, ROWS = 30, 6
@@ -166,7 +170,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     c = classes.select("node", "id", "th", "n")
     heads = c.join(k, (F.col("node") == F.col("snode")) & F.col("id").eqNullSafe(F.col("sid")) & (F.col("th") == F.col("sth")))
     rows = heads.select("node", "n", F.explode("keys").alias("key")).distinct() if _repeats(real, classes) else heads.select("node", "n", F.explode("keys").alias("key"))
-    pivots = materialize(rows.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("top"), F.count(F.lit(1)).alias("m")).where("m > 1").select("key", "pivot", "top"), "pivots")
+    pivots = materialize(rows.groupBy("key").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("m")).where("m > 1").select("key", "pivot"), "pivots")
     buckets = materialize(rows.join(pivots, "key").select("key", "node", "n", "pivot"), "buckets")
 
     size = classes.select(F.col("node").alias("pivot"), F.col("n").alias("pn"))
@@ -177,10 +181,10 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     links = materialize(_verified(pairs, sets, percent), "verified")
     comp = materialize(graph.components(links), "components")
 
-    more = _across(buckets, comp, pairs, percent)
-    if not more.isEmpty():
-        ends = more.select(F.col("u").alias("node")).unionByName(more.select(F.col("v").alias("node"))).distinct()
-        sets = _sets(docs, id_col, text_col, words, classes.join(ends, "node", "left_semi"))
+    stray = _unsettled(buckets, comp)
+    if not stray.isEmpty():
+        sets = _sets(docs, id_col, text_col, words, classes.join(stray, "node", "left_semi"))
+        more = _across(stray, sets, pairs, percent)
         links = links.unionByName(_verified(more, sets, percent))
         comp = materialize(graph.components(links), "components")
 
@@ -197,23 +201,90 @@ def _repeats(real: DataFrame, classes: DataFrame) -> bool:
     return real.select("node", "id", "th").distinct().count() != real.count()
 
 
-def _across(buckets: DataFrame, comp: DataFrame, done: DataFrame, percent: int) -> DataFrame:
-    """The pairs that share a bucket, lie in different components and weren't compared.
+def _unsettled(buckets: DataFrame, comp: DataFrame) -> DataFrame:
+    """(node, c): the nodes, with their components, of buckets that hold several components."""
+    c = comp.select("node", F.col("root").alias("c"))
+    rows = buckets.select("key", "node").join(c, "node", "left").withColumn("c", F.coalesce("c", "node"))
+    rows = materialize(rows, "settled")
+    still = materialize(rows.groupBy("key").agg(F.min("c").alias("a"), F.max("c").alias("b")).where("a <> b").select("key"), "open")
+    return materialize(rows.join(still, "key", "left_semi").select("node", "c").distinct(), "unsettled")
+
+
+#: Counters of shingles; two shingles in one counter only look more frequent.
+_COUNTERS = 1 << 20
+#: Shingles of a set are also counted in so many bins by their hashes.
+_BINS = 64
+
+
+def _frequencies(sets: DataFrame) -> np.ndarray:
+    """How often shingles occur, by the low bits of their hashes. The size is fixed."""
+    low = np.uint64(_COUNTERS - 1)
+    step = 1 << 14
+
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(_COUNTERS, np.int64)
+        for b in batches:
+            total += np.bincount((b.column(0).flatten().to_numpy().view(np.uint64) & low).astype(np.int64), minlength=_COUNTERS)
+        yield pa.RecordBatch.from_arrays([pa.array(range(0, _COUNTERS, step), pa.int64()), pa.array([total[i : i + step].tobytes() for i in range(0, _COUNTERS, step)], pa.binary())], ["at", "n"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for b in batches:
+            for at, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                total[at] = total.get(at, 0) + np.frombuffer(n, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array([x.tobytes() for x in total.values()], pa.binary())], ["at", "n"])
+
+    rows = sets.select("items").mapInArrow(local, "at long, n binary").repartition("at").mapInArrow(meet, "at long, n binary").collect()
+    out = np.zeros(_COUNTERS, np.int64)
+    for r in rows:
+        out[r.at : r.at + step] = np.frombuffer(r.n, np.int64)
+    return out
+
+
+def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """(node, n, first, bins): the rarest n - ceil(percent n / 100) + 1 shingles of each set, and its counts by bin."""
+    shared = sets.sparkSession.sparkContext.broadcast(_frequencies(sets))
+    low = np.uint64(_COUNTERS - 1)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = shared.value
+        for b in batches:
+            first, bins = [], []
+            for items in b.column(1):
+                s = items.values.to_numpy()
+                order = np.lexsort((s, count[(s.view(np.uint64) & low).astype(np.int64)]))
+                first.append(s[order[: len(s) - -(-percent * len(s) // 100) + 1]])
+                bins.append(np.bincount((s.view(np.uint64) >> np.uint64(58)).astype(np.int64), minlength=_BINS).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) for x in b.column(1)], pa.int64()), pa.array(first, pa.list_(pa.int64())), pa.array(bins, pa.list_(pa.int32()))], ["node", "n", "first", "bins"])
+
+    return sets.select("node", "items").mapInArrow(work, "node binary, n long, first array<long>, bins array<int>")
+
 
-    Every pair of components in a bucket has one outside the bucket's largest;
-    its nodes are the pivots here.
+def _across(stray: DataFrame, sets: DataFrame, done: DataFrame, percent: int) -> DataFrame:
+    """The pairs of unsettled nodes in different components that could be similar and weren't compared.
+
+    Of the components that meet at a shingle all but the largest are compared
+    with the others there.
     """
-    c = comp.select("node", F.col("root").alias("c"))
-    rows = buckets.select("key", "node", "n").join(c, "node", "left").withColumn("c", F.coalesce("c", "node"))
-    rows = materialize(rows, "open")
+    pre = materialize(_prefixes(sets, percent).join(stray, "node"), "prefixes")
+    blocks = bloom.blocks_for(pre.agg(F.sum(F.size("first"))).first()[0] or 0)
+    twice = materialize(bloom.twice_filter(pre, "first", blocks), "repeats")
+    rows = pre.select("node", "n", "c", "bins", F.posexplode("first").alias("at", "key"))
+    rows = materialize(bloom.hits(rows, "key", twice, blocks, "maybe").where("maybe").select("key", "node", "n", "at", "c", "bins"), "rare")
     sizes = rows.groupBy("key", "c").agg(F.count(F.lit(1)).alias("m"))
     largest = sizes.groupBy("key").agg(F.max(F.struct("m", "c")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
     largest = materialize(largest.select("key", F.col("top.c").alias("largest")), "largest")
     still = materialize(rows.join(largest, "key"), "still")
-    pivots = still.where("c != largest").select("key", F.col("node").alias("v"), F.col("n").alias("vn"), F.col("c").alias("vc"), "largest")
-    met = still.select("key", F.col("node").alias("u"), "n", "c").join(pivots, "key").where(F.col("c") != F.col("vc"))
+    pivots = still.where("c != largest").select("key", F.col("node").alias("v"), F.col("n").alias("vn"), F.col("at").alias("vat"), F.col("bins").alias("vbins"), F.col("c").alias("vc"))
+    met = still.select("key", F.col("node").alias("u"), "n", "at", "c", "bins", "largest").join(pivots, "key").where(F.col("c") != F.col("vc"))
     # two pivots meet in both orders
     met = met.where((F.col("c") == F.col("largest")) | (F.col("u") > F.col("v"))).where(_could("n", "vn", percent))
+    # the first shingle that two similar sets share leaves enough behind it in both: intersection >= s / (1 + s) of the sizes' sum
+    behind = F.least(F.col("n") - F.col("at"), F.col("vn") - F.col("vat"))
+    # and no more is shared than the bins have in common
+    common = F.aggregate(F.zip_with("bins", "vbins", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
+    need = percent * (F.col("n") + F.col("vn"))
+    met = met.where(((100 + percent) * behind >= need) & ((100 + percent) * common >= need))
     met = met.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     seen = done.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     return materialize(met.join(seen, ["u", "v"], "left_anti"), "across")
