@@ -299,4 +299,9 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words
     found = components(docs, id_col, text_col, words, percent)
     lost = materialize(found.where(~F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("lid"), F.col("th").alias("lth")).distinct(), "lost")
     rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.xxhash64(whole(F.col(text_col))).alias("th"))
-    return rows.join(lost, F.col("id").eqNullSafe(F.col("lid")) & (F.col("th") == F.col("lth")), "left_anti").select("row.*")
+    # only rows that a Bloom filter of the lost ones lets through shuffle with their texts
+    blocks = bloom.blocks_for(lost.count())
+    filt = materialize(bloom.once_filter(lost.select("lth"), "lth", blocks), "lost-filter")
+    tested = bloom.hits(rows, "th", filt, blocks, "maybe")
+    met = tested.where("maybe").join(lost, F.col("id").eqNullSafe(F.col("lid")) & (F.col("th") == F.col("lth")), "left_anti")
+    return tested.where("not maybe").select("row").unionByName(met.select("row")).select("row.*")
