@@ -332,7 +332,7 @@ def _xml(html, k):
     tag = F.element_at(F.array(*[F.lit(x) for x in ("en", "en-GB", "gmail.com", "", "en_US", "x-custom")]), (k % 6 + 1).cast("int"))
     return F.concat(
         F.lit('<?xml version="1.0"?>\n<rdf:RDF>\n  <owl:imports rdf:resource="http://x/a"/>\n'), F.when(k % 3 == 0, '  <owl:imports>\n<b/></owl:imports> \n').otherwise(""),
-        F.lit('<a xml:lang="'), tag, F.lit('">'), F.substring(html, 1, 500), F.lit("</a></rdf:RDF>"),
+        F.lit('<a xml:lang="'), tag, F.lit('">'), html, F.lit("</a></rdf:RDF>"),
     )
 
 
