@@ -179,24 +179,34 @@ def _restrictions(t: DataFrame) -> DataFrame:
     return on.join(some, "r")
 
 
-def _list_members(t: DataFrame, depth: int = 16) -> DataFrame:
-    """(head, member) of RDF lists, up to ``depth`` members."""
+def _list_members(t: DataFrame, heads: DataFrame) -> DataFrame:
+    """(head, member): all members of the RDF lists that start at ``heads`` (head).
+
+    Each step doubles the reach of the links, so a list of n cells takes about
+    log2(n) steps, and is written before the next one. A list that leads back
+    into itself ends once no pair of head and cell is new.
+    """
     first = t.where(F.col("p") == RDF + "first").select(F.col("s").alias("cell"), F.col("o").alias("member"))
-    rest = t.where(F.col("p") == RDF + "rest").select(F.col("s").alias("cell"), F.col("o").alias("next"))
-    at = first.select(F.col("cell").alias("head"), "cell")
-    out = None
-    for _ in range(depth):
-        found = at.join(first, "cell").select("head", "member")
-        out = found if out is None else out.unionByName(found)
-        at = at.join(rest, "cell").select("head", F.col("next").alias("cell")).where(F.col("cell") != RDF + "nil")
-    return out
+    rest = t.where((F.col("p") == RDF + "rest") & (F.col("o") != RDF + "nil")).select(F.col("s").alias("cell"), F.col("o").alias("next"))
+    link = materialize(rest.distinct(), "link")
+    at = materialize(heads.select("head", F.col("head").alias("cell")).distinct(), "cell")
+    while not link.isEmpty():
+        step = at.join(link, "cell").select("head", F.col("next").alias("cell")).distinct()
+        new = materialize(step.join(at, ["head", "cell"], "left_anti"), "cell")
+        if new.isEmpty():
+            break
+        at = at.unionByName(new)
+        onward = link.select(F.col("cell").alias("next"), F.col("next").alias("far"))
+        link = materialize(link.join(onward, "next").select("cell", F.col("far").alias("next")).distinct(), "link")
+    return at.join(first, "cell").select("head", "member")
 
 
-def relax(triples: DataFrame, list_depth: int = 4) -> DataFrame:
+def relax(triples: DataFrame) -> DataFrame:
     """Triples (s, p, o) and what equivalences to intersections imply: A = B and r some C gives A < B and A < r some C."""
     eq = triples.where(F.col("p") == OWL + "equivalentClass").select("s", F.col("o").alias("x"))
     inter = triples.where(F.col("p") == OWL + "intersectionOf").select(F.col("s").alias("x"), F.col("o").alias("head"))
-    parts = eq.join(inter, "x").join(_list_members(triples, list_depth), "head").select("s", F.lit(RDFS + "subClassOf").alias("p"), F.col("member").alias("o"))
+    lists = eq.join(inter, "x").select("s", "head")
+    parts = lists.join(_list_members(triples, lists.select("head")), "head").select("s", F.lit(RDFS + "subClassOf").alias("p"), F.col("member").alias("o"))
     named = eq.where(~F.col("x").startswith("_:")).select("s", F.lit(RDFS + "subClassOf").alias("p"), F.col("x").alias("o"))
     return triples.select("s", "p", "o").unionByName(parts).unionByName(named).distinct()
 

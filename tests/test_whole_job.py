@@ -1,6 +1,10 @@
 """What lies behind a prefix, a depth or a subset counts like the rest."""
 
+from pyspark.sql import functions as F
+
+from ontoloom.operators import graph
 from ontoloom.plans import registry
+from ontoloom.sources import rdf
 
 
 def save(spark, folder, **frames):
@@ -23,3 +27,22 @@ def test_whole_pages_are_stripped(spark, tmp_path):
     assert kept[1] == f'{head}{imports}<a xml:lang="en-GB">' + html.replace(' xml:lang="a.b"', "") + "</a></rdf:RDF>"
     assert kept[2] == f"{head}{imports}<a>{far}</a></rdf:RDF>"
     assert {r.tag: r.n for r in registry.removed_tags(spark, sf).collect()} == {"gmail.com": 1, "a.b": 1}
+
+
+def test_long_intersections(spark):
+    """21 members each, the last of them a restriction; one list of one member, and one that leads back into itself."""
+    names = "".join(f'<rdf:Description rdf:about="http://x/m{i}"/>' for i in range(20))
+    some = '<owl:Restriction><owl:onProperty rdf:resource="http://x/p"/><owl:someValuesFrom rdf:resource="http://x/c"/></owl:Restriction>'
+    doc = (
+        '<rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns:owl="http://www.w3.org/2002/07/owl#"><owl:Class rdf:about="http://x/a">'
+        '<owl:equivalentClass><owl:Class><owl:intersectionOf rdf:parseType="Collection">{}</owl:intersectionOf></owl:Class></owl:equivalentClass></owl:Class></rdf:RDF>'
+    )
+    docs = spark.createDataFrame([(doc.format(names + some), "1"), (doc.replace("x/a", "x/b").format(names[: names.index("/>") + 2]), "2")], "t string, k string")
+    t = docs.select(F.explode(rdf.triples(F.col("t"), F.col("k"))["triples"]).alias("x")).select("x.s", "x.p", "x.o")
+    ring = [("r", graph.OWL + "equivalentClass", "_:x"), ("_:x", graph.OWL + "intersectionOf", "_:0")]
+    ring += [(f"_:{i}", graph.RDF + p, o) for i in range(5) for p, o in (("first", f"y{i}"), ("rest", f"_:{(i + 1) % 5}"))]
+    edges = graph.triple_edges(graph.relax(t.unionByName(spark.createDataFrame(ring, t.schema))))
+    got = sorted((r.subject, r.predicate, r.object) for r in edges.collect())
+    sub = "biolink:subclass_of"
+    want = [("http://x/a", sub, f"http://x/m{i}") for i in range(20)] + [("http://x/a", "biolink:related_to", "http://x/c"), ("http://x/b", sub, "http://x/m0")]
+    assert got == sorted(want + [("r", sub, f"y{i}") for i in range(5)])
