@@ -72,18 +72,18 @@ idx AS (SELECT * FROM f UNION ALL BY NAME SELECT * FROM b WHERE id NOT IN (SELEC
 
 def resources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers as registered resources: their line items' parts are products, parts' brands the products' sources."""
-    li = table(spark, sf_dir, "lineitem").where(F.col("l_linenumber") == 1).select("l_suppkey", "l_orderkey", "l_partkey", "l_quantity")
+    li = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
     source = F.concat(F.lit("R"), ((F.col("l_partkey") * 7) % 50).cast("string"))
     product = F.struct(
-        F.col("l_orderkey").alias("pos"), F.col("l_partkey").cast("string").alias("id"), F.lit(None).cast("string").alias("name"),
+        F.col("l_orderkey").alias("pos"), F.col("l_linenumber").alias("line"), F.col("l_partkey").cast("string").alias("id"), F.lit(None).cast("string").alias("name"),
         F.when(F.col("l_partkey") % 3 == 0, "GraphProduct").otherwise("Product").alias("category"),
         F.element_at(F.array(F.lit("kgx"), F.lit("ttl"), F.lit(""), F.lit("json")), (F.col("l_partkey") % 4 + 1).cast("int")).alias("format"),
         F.when(F.col("l_partkey") % 5 != 0, F.col("l_quantity").cast("long") * 1000).alias("node_count"), (F.col("l_orderkey") % 1000).alias("edge_count"),
         F.transform(F.sequence(F.lit(1), (F.col("l_partkey") % 4 + 1).cast("int")), lambda i: F.concat(F.lit("c"), i.cast("string"))).alias("node_categories"),
         F.array(F.lit("p1"), F.lit("p2")).alias("predicates"), F.array(F.struct(source.alias("source"))).alias("original_source"),
     )
-    # a fixed number of suppliers' products: by order key, so that the list is stable
-    lists = li.groupBy((F.col("l_suppkey") % 200).alias("k")).agg(F.array_sort(F.collect_list(product)).alias("p"))
+    # by order key and line number, then by the rest, as line items can repeat both: so that the list is stable
+    lists = li.groupBy(F.col("l_suppkey").alias("k")).agg(F.array_sort(F.collect_list(product)).alias("p"))
     products = F.transform("p", lambda x: F.struct(*[x[c].alias(c) for c in ("id", "name", "category", "format", "node_count", "edge_count", "node_categories", "predicates", "original_source")]))
     return lists.select(
         F.concat(F.lit("R"), F.col("k").cast("string")).alias("id"), F.when(F.col("k") % 6 != 0, F.concat(F.lit("Resource "), F.col("k").cast("string"))).alias("name"), F.lit("d").alias("description"),

@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from ontoloom.operators import graph
-from ontoloom.plans import registry
+from ontoloom.operators import browse, graph
+from ontoloom.plans import inputs, registry
 from ontoloom.sources import rdf
 
 
@@ -46,3 +46,20 @@ def test_long_intersections(spark):
     sub = "biolink:subclass_of"
     want = [("http://x/a", sub, f"http://x/m{i}") for i in range(20)] + [("http://x/a", "biolink:related_to", "http://x/c"), ("http://x/b", sub, "http://x/m0")]
     assert got == sorted(want + [("r", sub, f"y{i}") for i in range(5)])
+
+
+def test_every_line_item_is_a_product(spark, tmp_path):
+    """Suppliers 2 and 202 stay two resources; an order's lines come by number, lines of equal number by part."""
+    lines = [(2, 7, 3, 3, 9.0), (2, 7, 2, 6, 8.0), (2, 7, 1, 1, 5.0), (2, 7, 1, 12, 8.0), (202, 5, 2, 2, 1.0), (202, 4, 2, 5, 1.0)]
+    sf = save(spark, tmp_path, lineitem=(lines, "l_suppkey long, l_orderkey long, l_linenumber int, l_partkey long, l_quantity double"))
+    got = {r.id: r for r in inputs.resources(spark, sf).collect()}
+    assert {k: [p.id for p in r.products] for k, r in got.items()} == {"R2": ["1", "12", "6", "3"], "R202": ["5", "2"]}
+    assert {r.id: (r.nodes, r.best) for r in registry.graph_metrics(spark, sf).collect()} == {"R2": (9000, "3"), "R202": (None, None)}
+    assert {r.id: r.fmts for r in registry.graph_formats(spark, sf).collect()} == {"R2": "ttl,kgx,json", "R202": "ttl"}
+    assert {(r.source, r.resource) for r in registry.reverse_index(spark, sf).collect()} == set()
+    lines += [(14, 1, 2, 2, 1.0), (28, 1, 2, 4, 1.0), (228, 1, 2, 4, 1.0), (35, 1, 2, 2, 1.0)]
+    (more := tmp_path / "more").mkdir()
+    sf = save(spark, more, lineitem=(lines, "l_suppkey long, l_orderkey long, l_linenumber int, l_partkey long, l_quantity double"))
+    assert {(r.source, r.resource) for r in registry.reverse_index(spark, sf).collect()} == {("R14", "R202"), ("R14", "R35"), ("R28", "R228")}
+    assert {r.source: r.users for r in registry.used_by(spark, sf).collect()} == {"R14": "R35 R202", "R28": "R228"}
+    assert {r.id for r in browse.graph_items(inputs.resources(spark, sf)).collect()} == {"R2", "R202", "R14", "R28", "R228"}
