@@ -375,7 +375,7 @@ SELECT doc_id, CASE WHEN length(trim(text, chr(32) || chr(9) || chr(10) || chr(1
   replace(replace(replace(replace(replace(left(text, 80), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), chr(39), '&#x27;') AS escaped FROM documents
 """)
 def blurb_escape(spark, sf_dir):
-    return I.table(spark, sf_dir, "documents").select("doc_id", X.blurb(F.col("text")).alias("blurb"), X.html_escape(F.substring("text", 1, 80)).alias("escaped"))
+    return I.table(spark, sf_dir, "documents").select("doc_id", X.blurb(F.col("text")).alias("blurb"), X.html_escape(F.col("text")).alias("escaped"))
 
 
 @query("""

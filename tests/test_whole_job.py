@@ -63,3 +63,10 @@ def test_every_line_item_is_a_product(spark, tmp_path):
     assert {(r.source, r.resource) for r in registry.reverse_index(spark, sf).collect()} == {("R14", "R202"), ("R14", "R35"), ("R28", "R228")}
     assert {r.source: r.users for r in registry.used_by(spark, sf).collect()} == {"R14": "R35 R202", "R28": "R228"}
     assert {r.id for r in browse.graph_items(inputs.resources(spark, sf)).collect()} == {"R2", "R202", "R14", "R28", "R228"}
+
+
+def test_whole_texts_are_escaped(spark, tmp_path):
+    text = "a" * 200 + "<b>&\"'"
+    sf = save(spark, tmp_path, documents=([(1, text), (2, None)], "doc_id long, text string"))
+    got = {r.doc_id: (r.blurb, r.escaped) for r in registry.blurb_escape(spark, sf).collect()}
+    assert got == {1: ("a" * 110 + "…", "a" * 200 + "&lt;b&gt;&amp;&quot;&#x27;"), 2: ("", "")}
