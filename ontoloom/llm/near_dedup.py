@@ -160,6 +160,11 @@ def _could(n: str, m: str, percent: int):
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
     """(id, th, n_shingles, component_id) for each row of ``docs``; th is xxhash64 of the text."""
+    return _components(docs, id_col, text_col, words, percent).select("id", "th", "n_shingles", "component_id")
+
+
+def _components(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
+    """components() with component_th: it and component_id are of the component's first row, null ids last."""
     sig = materialize(signatures(docs, id_col, text_col, words), "signatures")
     real = sig.where("node is not null")
     classes = real.groupBy("node").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "th")).alias("first"), F.max("n").alias("n"))
@@ -188,12 +193,16 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         links = links.unionByName(_verified(more, sets, percent))
         comp = materialize(graph.components(links), "components")
 
-    least = materialize(comp.join(classes.select("node", "id"), "node").groupBy("root").agg(F.min("id").alias("least")), "least")
+    first = F.struct(F.col("id").isNull().alias("last"), "id", "th").alias("first")
+    least = materialize(comp.join(classes.select("node", first), "node").groupBy("root").agg(F.min("first").alias("least")), "least")
     linked = comp.join(least, "root").select("node", "least")
-    label = classes.select("node", "id").join(linked, "node", "left").select("node", F.coalesce("least", "id").alias("component"))
+    label = classes.select("node", first).join(linked, "node", "left").select("node", F.coalesce("least", "first").alias("component"))
     label = materialize(label, "labels")
     out = sig.select("id", "th", "n", "node").join(label, "node", "left")
-    return out.select("id", "th", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
+    own = F.col("component").isNull()
+    return out.select(
+        "id", "th", F.col("n").alias("n_shingles"), F.when(own, F.col("id")).otherwise(F.col("component.id")).alias("component_id"), F.when(own, F.col("th")).otherwise(F.col("component.th")).alias("component_th")
+    )
 
 
 def _repeats(real: DataFrame, classes: DataFrame) -> bool:
@@ -293,11 +302,12 @@ def _across(stray: DataFrame, sets: DataFrame, done: DataFrame, percent: int) ->
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
     """The documents that stay, one of each group of near copies, with all their columns.
 
-    Rows that repeat both id and text stay or go together; exact
+    The one is the first by (id, text hash), null ids last. Rows that repeat both id and text stay or go together; exact
     deduplication before this operator leaves none.
     """
-    found = components(docs, id_col, text_col, words, percent)
-    lost = materialize(found.where(~F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("lid"), F.col("th").alias("lth")).distinct(), "lost")
+    found = _components(docs, id_col, text_col, words, percent)
+    stays = F.col("id").eqNullSafe(F.col("component_id")) & (F.col("th") == F.col("component_th"))
+    lost = materialize(found.where(~stays).select(F.col("id").alias("lid"), F.col("th").alias("lth")).distinct(), "lost")
     rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.xxhash64(whole(F.col(text_col))).alias("th"))
     # only rows that a Bloom filter of the lost ones lets through shuffle with their texts
     blocks = bloom.blocks_for(lost.count())
