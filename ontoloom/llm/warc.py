@@ -82,6 +82,7 @@ def audit(a: DataFrame, b: DataFrame) -> DataFrame:
     """(file, offset, problem, length_a, length_b, hash_a, hash_b): the records in which two replicas differ.
 
     a, b: (file, offset, length, hash). problem: changed, missing (in b) or extra (in b).
+    Records that share an offset are compared as multisets: a changed row pairs one that only a has with one that only b has.
     """
     a, b = (materialize(x.select("file", "offset", "length", "hash"), "replica") for x in (a, b))
     top = height(a, b)
@@ -95,11 +96,14 @@ def audit(a: DataFrame, b: DataFrame) -> DataFrame:
         suspects = materialize(x.join(y, ["file", "idx"], "full").where(~F.col("ha").eqNullSafe(F.col("hb"))).select("file", "idx"), "suspects")
     bad = suspects.select(F.col("file").alias("f"), F.col("idx").alias("i"))
     x, y = (t.join(bad, (F.col("file") == F.col("f")) & (F.floor(F.col("offset") / LEAF_RANGE) == F.col("i")), "left_semi") for t in (a, b))
-    x = x.groupBy("file", "offset", "length", "hash").agg(F.count(F.lit(1)).alias("n")).groupBy("file", "offset").agg(F.sort_array(F.collect_list(F.struct("hash", "length", "n"))).alias("ra"))
-    y = y.groupBy("file", "offset", "length", "hash").agg(F.count(F.lit(1)).alias("n")).groupBy("file", "offset").agg(F.sort_array(F.collect_list(F.struct("hash", "length", "n"))).alias("rb"))
-    met = x.join(y, ["file", "offset"], "full").where(~F.col("ra").eqNullSafe(F.col("rb")))
-    problem = F.when(F.col("rb").isNull(), "missing").when(F.col("ra").isNull(), "extra").otherwise("changed")
+    # what one side holds more often than the other, in the order of hashes
+    rows = x.withColumn("w", F.lit(1)).unionByName(y.withColumn("w", F.lit(-1))).groupBy("file", "offset", "length", "hash").agg(F.sum("w").alias("w")).where("w <> 0")
+    over = lambda sign: F.sort_array(F.collect_list(F.when(F.col("w") * sign > 0, F.struct("hash", "length", F.abs("w").cast("int").alias("n")))))
+    each = lambda c: F.flatten(F.transform(c, lambda r: F.array_repeat(F.struct(r["hash"].alias("hash"), r["length"].alias("length")), r["n"])))
+    met = rows.groupBy("file", "offset").agg(over(1).alias("a"), over(-1).alias("b")).select("file", "offset", each(F.col("a")).alias("a"), each(F.col("b")).alias("b"))
+    met = met.select("file", "offset", F.explode(F.arrays_zip("a", "b")).alias("z")).select("file", "offset", "z.a", "z.b")
+    problem = F.when(F.col("b").isNull(), "missing").when(F.col("a").isNull(), "extra").otherwise("changed")
     return met.select(
-        "file", "offset", problem.alias("problem"), F.col("ra")[0]["length"].alias("length_a"), F.col("rb")[0]["length"].alias("length_b"),
-        F.lower(F.hex(F.col("ra")[0]["hash"])).alias("hash_a"), F.lower(F.hex(F.col("rb")[0]["hash"])).alias("hash_b"),
+        "file", "offset", problem.alias("problem"), F.col("a.length").alias("length_a"), F.col("b.length").alias("length_b"),
+        F.lower(F.hex("a.hash")).alias("hash_a"), F.lower(F.hex("b.hash")).alias("hash_b"),
     )
