@@ -37,11 +37,15 @@ _PRODUCT = (
 )
 
 
+def _first_largest(values: Column, measure) -> Column:
+    """The place (from 0) of the value with the largest measure, the first of equals; null if all measures are null. One pass."""
+    ranked = F.transform(values, lambda x, i: F.when(measure(x).isNotNull(), F.struct(measure(x).alias("m"), (-i).alias("i"))))
+    return -F.array_max(ranked)["i"]
+
+
 def _longest(lists: Column) -> Column:
     """The longest of some lists, the first of equals; null if all are null."""
-    some = F.filter(lists, lambda x: x.isNotNull())
-    most = F.array_max(F.transform(some, lambda x: F.size(x)))
-    return F.get(F.filter(some, lambda x: F.size(x) == most), F.lit(0))
+    return F.get(lists, _first_largest(lists, lambda x: F.when(x.isNotNull(), F.size(x))))
 
 
 def metrics(products: Column) -> Column:
@@ -56,8 +60,7 @@ def metrics(products: Column) -> Column:
 def primary_product(products: Column) -> Column:
     """The graph product with most nodes (the first of equals), else the first one, else null."""
     p = graph_products(products)
-    most = F.array_max(F.transform(p, lambda x: x["node_count"]))
-    return F.coalesce(F.get(F.filter(p, lambda x: x["node_count"] == most), F.lit(0)), F.get(p, F.lit(0)))
+    return F.coalesce(F.get(p, _first_largest(p, lambda x: x["node_count"])), F.get(p, F.lit(0)))
 
 
 def formats(products: Column) -> Column:

@@ -94,9 +94,9 @@ def resources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: One row for each product, in the order of a resource's products.
 PRODUCT_SQL = """
-SELECT l_suppkey % 200 AS k, row_number() OVER (PARTITION BY l_suppkey % 200 ORDER BY l_orderkey, CAST(l_partkey AS VARCHAR)) AS i,
+SELECT l_suppkey AS k, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, CAST(l_partkey AS VARCHAR), l_quantity) AS i,
   CASE WHEN l_partkey % 3 = 0 THEN 'GraphProduct' ELSE 'Product' END AS category, (['kgx', 'ttl', '', 'json'])[l_partkey % 4 + 1] AS format,
   CASE WHEN l_partkey % 5 <> 0 THEN CAST(l_quantity AS BIGINT) * 1000 END AS node_count, l_orderkey % 1000 AS edge_count, l_partkey % 4 + 1 AS ncat,
   'R' || CAST((l_partkey * 7) % 50 AS VARCHAR) AS source, CAST(l_partkey AS VARCHAR) AS id
-FROM lineitem WHERE l_linenumber = 1
+FROM lineitem
 """

@@ -339,7 +339,7 @@ def _xml(html, k):
 _XML_SQL = """
 SELECT page_id, '<?xml version="1.0"?>' || chr(10) || '<rdf:RDF>' || chr(10) || CASE WHEN imp THEN '  <owl:imports rdf:resource="http://x/a"/>' || chr(10) ELSE '' END ||
   CASE WHEN imp AND page_id % 3 = 0 THEN '  <owl:imports>' || chr(10) || '<b/></owl:imports> ' || chr(10) ELSE '' END ||
-  '<a' || CASE WHEN bad AND page_id % 6 IN (2, 4) THEN '' ELSE ' xml:lang="' || (['en', 'en-GB', 'gmail.com', '', 'en_US', 'x-custom'])[page_id % 6 + 1] || '"' END || '>' || left(html, 500) || '</a></rdf:RDF>' AS text FROM pages, (SELECT {} AS imp, {} AS bad)
+  '<a' || CASE WHEN bad AND page_id % 6 IN (2, 4) THEN '' ELSE ' xml:lang="' || (['en', 'en-GB', 'gmail.com', '', 'en_US', 'x-custom'])[page_id % 6 + 1] || '"' END || '>' || html || '</a></rdf:RDF>' AS text FROM pages, (SELECT {} AS imp, {} AS bad)
 """
 
 
@@ -364,15 +364,15 @@ def removed_tags(spark, sf_dir):
 
 
 @query(r"""
-SELECT doc_id, array_to_string(regexp_extract_all(text, '[^\x09-\x0d\x1c-\x20\x85\xa0]+')[1:3], ' ') AS version FROM documents WHERE regexp_matches(text, '[^\s]')
+SELECT doc_id, coalesce(nullif(array_to_string(regexp_extract_all(coalesce(text, ''), '[^\x09-\x0d\x1c-\x20\x85\xa0]+')[1:3], ' '), ''), 'NA') AS version FROM documents
 """)
 def short_version(spark, sf_dir):
-    return I.table(spark, sf_dir, "documents").where(F.col("text").rlike(r"\S")).select("doc_id", X.short_version(F.col("text")).alias("version"))
+    return I.table(spark, sf_dir, "documents").select("doc_id", X.short_version(F.col("text")).alias("version"))
 
 
 @query("""
 SELECT doc_id, CASE WHEN length(trim(text, chr(32) || chr(9) || chr(10) || chr(13))) > 110 THEN left(trim(text, chr(32) || chr(9) || chr(10) || chr(13)), 110) || '…' ELSE trim(text, chr(32) || chr(9) || chr(10) || chr(13)) END AS blurb,
-  replace(replace(replace(replace(replace(left(text, 80), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), chr(39), '&#x27;') AS escaped FROM documents
+  replace(replace(replace(replace(replace(coalesce(text, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), chr(39), '&#x27;') AS escaped FROM documents
 """)
 def blurb_escape(spark, sf_dir):
     return I.table(spark, sf_dir, "documents").select("doc_id", X.blurb(F.col("text")).alias("blurb"), X.html_escape(F.col("text")).alias("escaped"))
@@ -570,7 +570,7 @@ def bar_percent(spark, sf_dir):
 
 @query(I.INDEX_SQL + """
 SELECT 'registry' AS source, 'R' || k AS id, 'R' || k AS acr, CASE WHEN k % 6 <> 0 THEN 'Resource ' || k ELSE 'R' || k END AS name, CASE WHEN k % 4 = 0 THEN 'active' ELSE '—' END AS status_label, CASE WHEN k % 4 = 0 THEN 'ok' ELSE 'warn' END AS status_cls, '2024-05-06' AS updated
-FROM (SELECT DISTINCT l_suppkey % 200 AS k FROM lineitem WHERE l_linenumber = 1) WHERE k % 2 = 0
+FROM (SELECT DISTINCT l_suppkey AS k FROM lineitem) WHERE k % 2 = 0
 UNION ALL SELECT 'catalogue', id, upper(id), name, status, CASE WHEN status = 'OK' THEN 'ok' ELSE 'warn' END, '2025-01-01' FROM idx
 """)
 def browse_items(spark, sf_dir):
