@@ -5,17 +5,20 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_written: list[tuple[SparkSession, str]] = []
+#: Folders that are still there, by path.
+_written: dict[str, SparkSession] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Unset, a local master gets a temporary folder and a cluster a folder in
-    the warehouse, which executors share as well.
+    Where it is unset, a local master gets a temporary folder; a cluster has to
+    name one, as nothing else is known to be shared there.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
@@ -24,32 +27,57 @@ def shared_dir(spark: SparkSession) -> str:
     now = sc._jsc.sc().getCheckpointDir()
     if not now.isEmpty():
         return now.get().rstrip("/")
-    if sc.master.startswith("local[") or sc.master == "local":
-        sc.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="ontoloom-"))
-    else:
-        sc.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_ontoloom")
+    if not (sc.master.startswith("local[") or sc.master == "local"):
+        raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
+    sc.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="ontoloom-"))
     return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
-    Cuts lineage durably: a lost executor loses none of it. The files go when
-    the driver's process ends.
+    Cuts lineage durably: a lost executor loses none of it. The files go with
+    the ``scratch`` they were written in, or when the driver's process ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/ontoloom-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    _written[path] = spark
+    out = spark.read.schema(df.schema).parquet(path)
+    out._ontoloom_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of tables that ``materialize`` returned and that nothing reads any more."""
+    for t in tables:
+        _delete(t._ontoloom_path)
+
+
+def _delete(path: str) -> None:
+    spark = _written.pop(path, None)
+    if spark is not None:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def scratch() -> Iterator[list[DataFrame]]:
+    """What is written inside goes at the end, but for the tables that are put into the list.
+
+    Results that are computed later may read those only.
+    """
+    before, kept = set(_written), []
+    yield kept
+    stays = before | {t._ontoloom_path for t in kept}
+    for path in [p for p in _written if p not in stays]:
+        _delete(path)
 
 
 def _sweep() -> None:
-    for spark, path in _written:
+    for path in list(_written):
         try:
-            jvm = spark.sparkContext._jvm
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+            _delete(path)
         except Exception:  # noqa: BLE001  the JVM may be gone
             return
 
