@@ -2,69 +2,21 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ontoloom.durable import discard, materialize, scratch, shared_dir
+
+__all__ = ["WS", "discard", "fold", "labelled", "materialize", "read", "scratch", "shared_dir", "whole"]
+
 #: The white space that separates words everywhere in this subpackage.
 WS = r"[\x20\x09-\x0D]+"
 
-_written: list[tuple[SparkSession, str]] = []
-
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Unset, a local master gets a temporary folder and a cluster a folder in
-    the warehouse, which executors share as well.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    sc = spark.sparkContext
-    now = sc._jsc.sc().getCheckpointDir()
-    if not now.isEmpty():
-        return now.get().rstrip("/")
-    if sc.master.startswith("local[") or sc.master == "local":
-        sc.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="ontoloom-"))
-    else:
-        sc.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_ontoloom")
-    return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back.
-
-    Cuts lineage durably: a lost executor loses none of it. The files go when
-    the driver's process ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/ontoloom-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def _sweep() -> None:
-    for spark, path in _written:
-        try:
-            jvm = spark.sparkContext._jvm
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-        except Exception:  # noqa: BLE001  the JVM may be gone
-            return
-
-
-atexit.register(_sweep)
-
-
 def whole(text: Column) -> Column:
     """Null counts as empty."""
     return F.coalesce(text.cast("string"), F.lit(""))

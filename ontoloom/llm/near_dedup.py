@@ -8,18 +8,28 @@ fill bins that are still empty. After ``coordinates`` random rounds, round
 fills. Two sets agree in a coordinate with the probability of their Jaccard
 similarity, with concentration as of independent draws.
 
-Bands of ``ROWS`` coordinates make buckets. Equal sets are one node from the
-start. In each bucket all nodes are compared with one pivot, never with each
-other; pairs are settled on the full sets. The nodes of buckets that
-still hold several components then go through an exact filter: with all
-shingles in one order from rare to frequent, similar sets must share a shingle
-that comes early in both, and how early follows from their sizes (prefix and
-positional filters of Xiao et al. 2008). Documents that share a frequent
-passage only, and copies of one text that differ in too many places, hardly
-meet there. Nodes that do and lie in different components are compared. So each pair that shares a bucket is
-settled, ruled out exactly, or already connected, and no bucket is capped. A
-pair at the limit of similarity 0.85 shares a bucket with
-probability 1 - (1 - 0.85**ROWS)**BANDS, about 1 - 7e-7.
+Bands of coordinates make buckets. How many of how many follows from the
+similarity asked for (``banding``): the most coordinates a band for which
+``MOST_BANDS`` bands at most lose a pair at the limit with a probability of
+``LOSS`` or less. ``exact=True`` loses none: then all nodes go through the
+exact filter below, not only those that buckets leave open.
+
+Equal sets are one node from the start. In each bucket all nodes are compared
+with one pivot, never with each other; pairs are settled on the full sets (of
+64-bit shingle hashes). The nodes of buckets that still hold several
+components then go through an exact filter: with all shingles in one order
+from rare to frequent, similar sets must share a shingle that comes early in
+both, and how early follows from their sizes (prefix and positional filters of
+Xiao et al. 2008). Documents that share a frequent passage only, and copies of
+one text that differ in too many places, hardly meet there. Nodes that do, are
+of sizes that could be similar and lie in different components are compared.
+So each pair that shares a bucket is settled, ruled out exactly, or already
+connected, and no bucket is capped.
+
+What shuffles. Band keys are counted first, eight bytes each; only keys that
+occur twice go on, with their nodes, behind a Bloom filter of them. Texts never
+shuffle: the rows that a Bloom filter of the wanted ids and text hashes lets
+through become sets where they are, and the sets of wanted nodes shuffle.
 
 Defined cases: a text of fewer words than a shingle is one shingle; a null,
 empty or blank text has no shingle and links with nothing. A row with a null
@@ -29,6 +39,7 @@ repeat both id and text get the same answer. Extra columns don't matter.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import cache
 
@@ -39,9 +50,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom, graph
-from .common import materialize, whole
+from .common import discard, materialize, scratch, whole
 
-BANDS, ROWS = 30, 6
+#: The probability to lose a pair at the limit of similarity, and how many bands it may take.
+LOSS, MOST_BANDS = 1e-6, 35
 _MAX = np.uint64(0xFFFFFFFFFFFFFFFF)
 _LOW48 = np.uint64((1 << 48) - 1)
 
@@ -52,6 +64,15 @@ def _mix(z: np.ndarray) -> np.ndarray:
     return z ^ (z >> np.uint64(31))
 
 
+@cache
+def banding(percent: int) -> tuple[int, int]:
+    """(bands, coordinates a band) for a limit of similarity."""
+    share = min(max(percent, 1), 99) / 100
+    need = lambda rows: math.ceil(math.log(LOSS) / math.log1p(-(share**rows)))
+    rows = max([r for r in range(1, 65) if need(r) <= MOST_BANDS], default=1)
+    return need(rows), rows
+
+
 @cache
 def _seeds(n: int) -> np.ndarray:
     return _mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -105,9 +126,10 @@ def _texts(col: pa.Array) -> Iterator[bytes]:
         yield v.as_py() or b""
 
 
-def signatures(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
+def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
     """(id, th, n, node, keys): node names the shingle set (null if it is empty), th the text."""
     text = whole(F.col(text_col))
+    n_bands, per_band = banding(percent)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,7 +138,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame
                 s = shingles(data, k)
                 n.append(len(s))
                 node.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-                keys.append(bands(sketch(s, BANDS * ROWS), ROWS).view(np.int64) if len(s) else np.empty(0, np.int64))
+                keys.append(bands(sketch(s, n_bands * per_band), per_band).view(np.int64) if len(s) else np.empty(0, np.int64))
             offsets = np.cumsum([0, *map(len, keys)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(node, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(keys) if keys else np.empty(0, np.int64)))],
@@ -128,7 +150,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame
 
 
 def _sets(docs: DataFrame, id_col: str, text_col: str, k: int, wanted: DataFrame) -> DataFrame:
-    """(node, n, items): the full sets of the wanted classes (node, id, th), from their first documents."""
+    """(node, items): the full sets of the wanted classes (node, id, th), a written table, from their first documents."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,18 +160,22 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, k: int, wanted: DataFrame
             )
 
     text = whole(F.col(text_col))
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
-    w = wanted.select(F.col("id").alias("wid"), F.col("th").alias("wth")).distinct()
-    rows = rows.join(w, F.col("id").eqNullSafe(F.col("wid")) & (F.col("th") == F.col("wth")), "left_semi").select("text")
-    found = rows.mapInArrow(work, "node binary, items array<long>")
+    blocks = bloom.blocks_for(wanted.count())
+    filt = materialize(bloom.once_filter(wanted.select(F.xxhash64("id", "th").alias("h")), "h", blocks), "wanted-filter")
+    rows = docs.select(F.xxhash64(F.col(id_col), F.xxhash64(text)).alias("h"), text.alias("text"))
+    found = bloom.hits(rows, "h", filt, blocks, "maybe").where("maybe").select("text").mapInArrow(work, "node binary, items array<long>")
+    found = found.join(wanted.select("node"), "node", "left_semi")
     return materialize(found.dropDuplicates(["node"]), "sets")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) with 100 * intersection >= percent * union."""
-    a = sets.select(F.col("node").alias("u"), F.col("items").alias("a"))
-    b = sets.select(F.col("node").alias("v"), F.col("items").alias("b"))
-    met = pairs.join(a, "u").join(b, "v").withColumn("i", F.size(F.array_intersect("a", "b")).cast("long"))
+    """The pairs (u, v) with 100 * intersection >= percent * union. Only sets of their nodes shuffle."""
+
+    def side(end: str, items: str) -> DataFrame:
+        ends = pairs.select(F.col(end).alias("node")).distinct()
+        return sets.join(ends, "node", "left_semi").select(F.col("node").alias(end), F.col("items").alias(items))
+
+    met = pairs.join(side("u", "a"), "u").join(side("v", "b"), "v").withColumn("i", F.size(F.array_intersect("a", "b")).cast("long"))
     return met.where(100 * F.col("i") >= percent * (F.size("a") + F.size("b") - F.col("i"))).select("u", "v")
 
 
@@ -158,65 +184,80 @@ def _could(n: str, m: str, percent: int):
     return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
 
-def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
+def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, exact: bool = False) -> DataFrame:
     """(id, th, n_shingles, component_id) for each row of ``docs``; th is xxhash64 of the text."""
-    return _components(docs, id_col, text_col, words, percent).select("id", "th", "n_shingles", "component_id")
+    return _components(docs, id_col, text_col, words, percent, exact).select("id", "th", "n_shingles", "component_id")
 
 
-def _components(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
+def _components(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, exact: bool = False) -> DataFrame:
     """components() with component_th: it and component_id are of the component's first row, null ids last."""
-    sig = materialize(signatures(docs, id_col, text_col, words), "signatures")
-    real = sig.where("node is not null")
-    classes = real.groupBy("node").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "th")).alias("first"), F.max("n").alias("n"))
-    classes = materialize(classes.select("node", F.col("first.id").alias("id"), F.col("first.th").alias("th"), "n"), "classes")
-
-    # one row of each class brings the keys
-    k = real.select(F.col("node").alias("snode"), F.col("id").alias("sid"), F.col("th").alias("sth"), "keys")
-    c = classes.select("node", "id", "th", "n")
-    heads = c.join(k, (F.col("node") == F.col("snode")) & F.col("id").eqNullSafe(F.col("sid")) & (F.col("th") == F.col("sth")))
-    rows = heads.select("node", "n", F.explode("keys").alias("key")).distinct() if _repeats(real, classes) else heads.select("node", "n", F.explode("keys").alias("key"))
-    pivots = materialize(rows.groupBy("key").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("m")).where("m > 1").select("key", "pivot"), "pivots")
-    buckets = materialize(rows.join(pivots, "key").select("key", "node", "n", "pivot"), "buckets")
-
-    size = classes.select(F.col("node").alias("pivot"), F.col("n").alias("pn"))
-    star = buckets.where("node != pivot").select("node", "n", "pivot").distinct().join(size, "pivot").where(_could("n", "pn", percent))
-    pairs = materialize(star.select(F.col("node").alias("u"), F.col("pivot").alias("v")), "pairs")
-    ends = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
-    sets = _sets(docs, id_col, text_col, words, classes.join(ends, "node", "left_semi"))
-    links = materialize(_verified(pairs, sets, percent), "verified")
-    comp = materialize(graph.components(links), "components")
-
-    stray = _unsettled(buckets, comp)
-    if not stray.isEmpty():
-        sets = _sets(docs, id_col, text_col, words, classes.join(stray, "node", "left_semi"))
-        more = _across(stray, sets, pairs, percent)
-        links = links.unionByName(_verified(more, sets, percent))
+    with scratch() as kept:
+        sig = materialize(signatures(docs, id_col, text_col, words, percent), "signatures")
+        classes = sig.where("node is not null").groupBy("node").agg(
+            F.min(F.struct(F.col("id").isNull().alias("last"), "id", "th")).alias("first"), F.max("n").alias("n"), F.first("keys").alias("keys"), F.count(F.lit(1)).alias("rows")
+        )
+        classes = materialize(classes.select("node", F.col("first.id").alias("id"), F.col("first.th").alias("th"), "n", "keys", "rows"), "classes")
+        buckets = _buckets(classes)
+        nodes = materialize(classes.select("node", "id", "th", "n").join(buckets.select("node").distinct(), "node", "left_semi"), "nodes")
+
+        size = nodes.select(F.col("node").alias("pivot"), F.col("n").alias("pn"))
+        star = buckets.where("node != pivot").select("node", "n", "pivot").distinct().join(size, "pivot").where(_could("n", "pn", percent))
+        pairs = materialize(star.select(F.col("node").alias("u"), F.col("pivot").alias("v")), "pairs")
+        sets = _sets(docs, id_col, text_col, words, classes.select("node", "id", "th") if exact else nodes)
+        links = materialize(_verified(pairs, sets, percent), "verified")
         comp = materialize(graph.components(links), "components")
 
-    first = F.struct(F.col("id").isNull().alias("last"), "id", "th").alias("first")
-    least = materialize(comp.join(classes.select("node", first), "node").groupBy("root").agg(F.min("first").alias("least")), "least")
-    linked = comp.join(least, "root").select("node", "least")
-    label = classes.select("node", first).join(linked, "node", "left").select("node", F.coalesce("least", "first").alias("component"))
-    label = materialize(label, "labels")
-    out = sig.select("id", "th", "n", "node").join(label, "node", "left")
-    own = F.col("component").isNull()
+        stray = _everything(classes, comp) if exact else _unsettled(buckets, comp)
+        discard(buckets)
+        if not stray.isEmpty():
+            more = _across(stray, sets, pairs, percent)
+            links = links.unionByName(_verified(more, sets, percent))
+            comp = materialize(graph.components(links), "components")
+
+        # classes of several rows, and linked ones, take the first row of their component; the rest is its own
+        first = F.struct(F.col("id").isNull().alias("last"), "id", "th").alias("first")
+        own = classes.select("node", first, "rows")
+        linked = materialize(comp.join(own.select("node", "first"), "node"), "linked")
+        least = materialize(linked.groupBy("root").agg(F.min("first").alias("least")), "least")
+        linked = linked.join(least, "root").select("node", F.col("least").alias("component"))
+        copies = own.where("rows > 1").select("node", "first").join(linked.select("node"), "node", "left_anti")
+        label = materialize(linked.unionByName(copies.withColumnRenamed("first", "component")), "labels")
+        sig = materialize(sig.select("id", "th", "n", "node"), "rows")
+        kept += [sig, label]
+    out = sig.join(label, "node", "left")
+    alone = F.col("component").isNull()
     return out.select(
-        "id", "th", F.col("n").alias("n_shingles"), F.when(own, F.col("id")).otherwise(F.col("component.id")).alias("component_id"), F.when(own, F.col("th")).otherwise(F.col("component.th")).alias("component_th")
+        "id", "th", F.col("n").alias("n_shingles"), F.when(alone, F.col("id")).otherwise(F.col("component.id")).alias("component_id"), F.when(alone, F.col("th")).otherwise(F.col("component.th")).alias("component_th")
     )
 
 
-def _repeats(real: DataFrame, classes: DataFrame) -> bool:
-    """Do rows repeat both id and text? Then a class could bring its keys twice."""
-    return real.select("node", "id", "th").distinct().count() != real.count()
+def _buckets(classes: DataFrame) -> DataFrame:
+    """(key, node, n, pivot): the nodes of the band keys that several nodes have; the pivot is the least of them."""
+    rows = classes.select("node", "n", F.explode("keys").alias("key"))
+    twice = materialize(rows.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key"), "repeated")
+    blocks = bloom.blocks_for(twice.count())
+    filt = materialize(bloom.once_filter(twice, "key", blocks), "repeated-filter")
+    rows = materialize(bloom.hits(rows, "key", filt, blocks, "maybe").where("maybe").drop("maybe"), "possible")
+    pivots = materialize(rows.groupBy("key").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("m")).where("m > 1").select("key", "pivot"), "pivots")
+    buckets = materialize(rows.join(pivots, "key").select("key", "node", "n", "pivot"), "buckets")
+    discard(twice, filt, rows, pivots)
+    return buckets
+
+
+def _everything(classes: DataFrame, comp: DataFrame) -> DataFrame:
+    """(node, c): all nodes with their components."""
+    c = comp.select("node", F.col("root").alias("c"))
+    return materialize(classes.select("node").join(c, "node", "left").withColumn("c", F.coalesce("c", "node")), "unsettled")
 
 
 def _unsettled(buckets: DataFrame, comp: DataFrame) -> DataFrame:
     """(node, c): the nodes, with their components, of buckets that hold several components."""
     c = comp.select("node", F.col("root").alias("c"))
-    rows = buckets.select("key", "node").join(c, "node", "left").withColumn("c", F.coalesce("c", "node"))
-    rows = materialize(rows, "settled")
+    rows = materialize(buckets.select("key", "node").join(c, "node", "left").withColumn("c", F.coalesce("c", "node")), "settled")
     still = materialize(rows.groupBy("key").agg(F.min("c").alias("a"), F.max("c").alias("b")).where("a <> b").select("key"), "open")
-    return materialize(rows.join(still, "key", "left_semi").select("node", "c").distinct(), "unsettled")
+    out = materialize(rows.join(still, "key", "left_semi").select("node", "c").distinct(), "unsettled")
+    discard(rows, still)
+    return out
 
 
 #: Counters of shingles; two shingles in one counter only look more frequent.
@@ -283,9 +324,14 @@ def _across(stray: DataFrame, sets: DataFrame, done: DataFrame, percent: int) ->
     sizes = rows.groupBy("key", "c").agg(F.count(F.lit(1)).alias("m"))
     largest = sizes.groupBy("key").agg(F.max(F.struct("m", "c")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
     largest = materialize(largest.select("key", F.col("top.c").alias("largest")), "largest")
-    still = materialize(rows.join(largest, "key"), "still")
-    pivots = still.where("c != largest").select("key", F.col("node").alias("v"), F.col("n").alias("vn"), F.col("at").alias("vat"), F.col("bins").alias("vbins"), F.col("c").alias("vc"))
-    met = still.select("key", F.col("node").alias("u"), "n", "at", "c", "bins", "largest").join(pivots, "key").where(F.col("c") != F.col("vc"))
+    # sizes whose logarithms to the base of the limit's inverse lie more than one apart can't be similar
+    step = math.log(100 / min(max(percent, 1), 99)) * (1 + 1e-9)
+    still = materialize(rows.join(largest, "key").withColumn("scale", F.floor(F.log("n") / step)), "still")
+    pivots = still.where("c != largest").select(
+        "key", F.col("node").alias("v"), F.col("n").alias("vn"), F.col("at").alias("vat"), F.col("bins").alias("vbins"), F.col("c").alias("vc"),
+        F.explode(F.array(F.col("scale") - 1, F.col("scale"), F.col("scale") + 1)).alias("scale"),
+    )
+    met = still.select("key", F.col("node").alias("u"), "n", "at", "c", "bins", "largest", "scale").join(pivots, ["key", "scale"]).where(F.col("c") != F.col("vc"))
     # two pivots meet in both orders
     met = met.where((F.col("c") == F.col("largest")) | (F.col("u") > F.col("v"))).where(_could("n", "vn", percent))
     # the first shingle that two similar sets share leaves enough behind it in both: intersection >= s / (1 + s) of the sizes' sum

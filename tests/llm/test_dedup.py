@@ -109,12 +109,19 @@ def test_components_match_brute_force(spark, docs):
         rows.append((i, passage + " " + " ".join(f"u{rng.randrange(10**6)}" for _ in range(rng.choice([5, 20, 60])))))
         i += 1
     rows += [(1, None), (2, ""), (3, " \t\n"), (4, "one"), (5, "ONE"), (6, "one two"), (7, "One\x0btwo"), (8, "Ünder É"), (9, "ünder é"), (10, "x " * 30_000), (11, "x " * 20_000), (12, "a b c"), (12, "a b c"), (None, "a b c"), (None, "lonely null here")]
-    for k, percent in ((3, 85), (5, 80)):
-        got = near_dedup.components(docs(rows), words=k, percent=percent).collect()
+    for k, percent, exact in ((3, 85, False), (5, 80, False), (3, 40, True), (3, 85, True)):
+        got = near_dedup.components(docs(rows), words=k, percent=percent, exact=exact).collect()
         mine = sorted(((r.id if r.id is not None else -1), r.n_shingles, -1 if r.component_id is None else r.component_id) for r in got)
         assert mine == brute(rows, k, percent)
 
 
+def test_bands_follow_the_limit():
+    assert near_dedup.banding(85) == (30, 6)
+    for percent in (30, 50, 65, 80, 85, 90, 95, 100):
+        n, rows = near_dedup.banding(percent)
+        assert (1 - (min(percent, 99) / 100) ** rows) ** n <= near_dedup.LOSS
+
+
 def test_near_dedup_keeps_one_of_each_group(spark, docs):
     rng = random.Random(5)
     base = [f"w{k}" for k in range(300)]
