@@ -20,7 +20,8 @@ with one pivot, never with each other; pairs are settled on the full sets (of
 components then go through an exact filter: with all shingles in one order
 from rare to frequent, similar sets must share a shingle that comes early in
 both, and how early follows from their sizes (prefix and positional filters of
-Xiao et al. 2008). Documents that share a frequent passage only, and copies of
+Xiao et al. 2008), and the parity maps of their hashes can't differ in more bits
+than the sets do in shingles. Documents that share a frequent passage only, and copies of
 one text that differ in too many places, hardly meet there. Nodes that do, are
 of sizes that could be similar and lie in different components are compared.
 So each pair that shares a bucket is settled, ruled out exactly, or already
@@ -262,8 +263,8 @@ def _unsettled(buckets: DataFrame, comp: DataFrame) -> DataFrame:
 
 #: Counters of shingles; two shingles in one counter only look more frequent.
 _COUNTERS = 1 << 20
-#: Shingles of a set are also counted in so many bins by their hashes.
-_BINS = 64
+#: Bits of a set's parity map: each shingle flips the bit that its hash names.
+_PARITY = 1024
 
 
 def _frequencies(sets: DataFrame) -> np.ndarray:
@@ -292,22 +293,23 @@ def _frequencies(sets: DataFrame) -> np.ndarray:
 
 
 def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """(node, n, first, bins): the rarest n - ceil(percent n / 100) + 1 shingles of each set, and its counts by bin."""
+    """(node, n, first, parity): the rarest n - ceil(percent n / 100) + 1 shingles of each set, and its parity map."""
     shared = sets.sparkSession.sparkContext.broadcast(_frequencies(sets))
     low = np.uint64(_COUNTERS - 1)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = shared.value
         for b in batches:
-            first, bins = [], []
+            first, parity = [], []
             for items in b.column(1):
                 s = items.values.to_numpy()
                 order = np.lexsort((s, count[(s.view(np.uint64) & low).astype(np.int64)]))
                 first.append(s[order[: len(s) - -(-percent * len(s) // 100) + 1]])
-                bins.append(np.bincount((s.view(np.uint64) >> np.uint64(58)).astype(np.int64), minlength=_BINS).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) for x in b.column(1)], pa.int64()), pa.array(first, pa.list_(pa.int64())), pa.array(bins, pa.list_(pa.int32()))], ["node", "n", "first", "bins"])
+                flips = np.bincount((s.view(np.uint64) >> np.uint64(54)).astype(np.int64), minlength=_PARITY) & 1
+                parity.append(np.packbits(flips.astype(np.uint8)).view(np.int64))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) for x in b.column(1)], pa.int64()), pa.array(first, pa.list_(pa.int64())), pa.array(parity, pa.list_(pa.int64()))], ["node", "n", "first", "parity"])
 
-    return sets.select("node", "items").mapInArrow(work, "node binary, n long, first array<long>, bins array<int>")
+    return sets.select("node", "items").mapInArrow(work, "node binary, n long, first array<long>, parity array<long>")
 
 
 def _across(stray: DataFrame, sets: DataFrame, done: DataFrame, percent: int) -> DataFrame:
@@ -319,27 +321,27 @@ def _across(stray: DataFrame, sets: DataFrame, done: DataFrame, percent: int) ->
     pre = materialize(_prefixes(sets, percent).join(stray, "node"), "prefixes")
     blocks = bloom.blocks_for(pre.agg(F.sum(F.size("first"))).first()[0] or 0)
     twice = materialize(bloom.twice_filter(pre, "first", blocks), "repeats")
-    rows = pre.select("node", "n", "c", "bins", F.posexplode("first").alias("at", "key"))
-    rows = materialize(bloom.hits(rows, "key", twice, blocks, "maybe").where("maybe").select("key", "node", "n", "at", "c", "bins"), "rare")
+    rows = pre.select("node", "n", "c", "parity", F.posexplode("first").alias("at", "key"))
+    rows = materialize(bloom.hits(rows, "key", twice, blocks, "maybe").where("maybe").select("key", "node", "n", "at", "c", "parity"), "rare")
     sizes = rows.groupBy("key", "c").agg(F.count(F.lit(1)).alias("m"))
     largest = sizes.groupBy("key").agg(F.max(F.struct("m", "c")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
     largest = materialize(largest.select("key", F.col("top.c").alias("largest")), "largest")
-    # sizes whose logarithms to the base of the limit's inverse lie more than one apart can't be similar
-    step = math.log(100 / min(max(percent, 1), 99)) * (1 + 1e-9)
-    still = materialize(rows.join(largest, "key").withColumn("scale", F.floor(F.log("n") / step)), "still")
+    # similar sizes have logarithms, to the base of the limit's inverse, that are at most 1 apart: ranges of 2, a pivot is in the one or two it reaches
+    log = F.log("n") / (math.log(100 / min(max(percent, 1), 99)) * (1 + 1e-9))
+    still = materialize(rows.join(largest, "key").withColumn("scale", F.floor(log / 2)), "still")
     pivots = still.where("c != largest").select(
-        "key", F.col("node").alias("v"), F.col("n").alias("vn"), F.col("at").alias("vat"), F.col("bins").alias("vbins"), F.col("c").alias("vc"),
-        F.explode(F.array(F.col("scale") - 1, F.col("scale"), F.col("scale") + 1)).alias("scale"),
+        "key", F.col("node").alias("v"), F.col("n").alias("vn"), F.col("at").alias("vat"), F.col("parity").alias("vparity"), F.col("c").alias("vc"),
+        F.explode(F.array_distinct(F.array(F.floor((log - 1) / 2), F.floor((log + 1) / 2)))).alias("scale"),
     )
-    met = still.select("key", F.col("node").alias("u"), "n", "at", "c", "bins", "largest", "scale").join(pivots, ["key", "scale"]).where(F.col("c") != F.col("vc"))
+    met = still.select("key", F.col("node").alias("u"), "n", "at", "c", "parity", "largest", "scale").join(pivots, ["key", "scale"]).where(F.col("c") != F.col("vc"))
     # two pivots meet in both orders
     met = met.where((F.col("c") == F.col("largest")) | (F.col("u") > F.col("v"))).where(_could("n", "vn", percent))
     # the first shingle that two similar sets share leaves enough behind it in both: intersection >= s / (1 + s) of the sizes' sum
     behind = F.least(F.col("n") - F.col("at"), F.col("vn") - F.col("vat"))
-    # and no more is shared than the bins have in common
-    common = F.aggregate(F.zip_with("bins", "vbins", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-    need = percent * (F.col("n") + F.col("vn"))
-    met = met.where(((100 + percent) * behind >= need) & ((100 + percent) * common >= need))
+    # each shingle that only one of them has flips one bit, so they differ in as many shingles as their maps do in bits, or more
+    apart = F.aggregate(F.zip_with("parity", "vparity", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    both = F.col("n") + F.col("vn")
+    met = met.where(((100 + percent) * behind >= percent * both) & ((100 + percent) * apart <= (100 - percent) * both))
     met = met.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     seen = done.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     return materialize(met.join(seen, ["u", "v"], "left_anti"), "across")
