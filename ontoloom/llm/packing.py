@@ -1,9 +1,9 @@
 """Best-fit packing into bins of several permitted lengths.
 
 Texts longer than the largest length are cut into pieces of that length and a
-rest, so nothing is lost. Pieces are dealt to shards by a hash, a shard of
-about ``SHARD_PIECES`` pieces is packed by one task, and its pieces go in
-decreasing length to the open bin with the least room that still holds them.
+rest, so nothing is lost. Pieces are dealt to shards, a shard of about
+``SHARD_PIECES`` pieces is packed by one task, and its pieces go in decreasing
+length to the open bin with the least room that still holds them.
 
 When no open bin has room, the opened size is the one of least expected cost
 for each token that it will hold: ``cost(size)`` over the smaller of the size
@@ -12,9 +12,19 @@ jointly: a shard is packed under each bound on the size of opened bins, and
 the plan of least total cost after downsizing stays. At last every bin shrinks
 to the smallest permitted length that holds its contents.
 
-Defined cases: a null, empty or blank text has length 0 and one row without a
-bin; ties go by id and piece; repeated rows are packed each on its own; an
-empty table gives an empty plan. Extra columns don't matter.
+``pack`` returns whole sequences: a row is a bin with its tokens and where
+each part comes from. ``plan`` returns places only, for any column of lengths.
+
+Rows are numbered by their place when their lengths are written, and shards
+are dealt by a hash of that number and the piece. So rows that repeat id and
+text spread like others, and a shard holds a bounded number of pieces, whatever
+repeats. The numbers are written before they are used, so a lost executor
+changes no shard; another split of the input gives another, equally good plan.
+
+Defined cases: a null, empty or blank text has no tokens: no part of any
+sequence, and one row without a bin in a plan. Ties go by id, piece and
+number; a null id goes last and stays null; repeated rows are packed each on
+its own; an empty table gives an empty result. Extra columns don't matter.
 """
 
 from __future__ import annotations
@@ -22,14 +32,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import WS, materialize, whole
 
 SIZES = (256, 512, 1024, 2048)
-SHARD_PIECES = 20_000
+#: With the largest pieces a shard's tokens take 64 MiB.
+SHARD_PIECES = 8_192
 #: Tokens that a sequence costs besides its length (separators, its share of a step).
 OVERHEAD = 16
 
@@ -101,41 +112,65 @@ def pack_shard(lengths: list[int], sizes: list[int], cost: Callable[[int], float
     return best[:3]
 
 
+def _bins(rows: DataFrame, sizes: list[int], cost: Callable[[int], float]) -> DataFrame:
+    """Written rows (id, n, at, and tokens if there are any) -> a row for each bin: (bin_id, bin_size, n_tokens, ids, pieces, starts, lengths, offsets, and tokens)."""
+    largest, tokens = sizes[-1], "tokens" in rows.columns
+    count = rows.agg(F.sum(F.ceil(F.col("n") / largest))).first()[0] or 0
+    shards = max(1, -(-count // SHARD_PIECES))
+    last = (F.ceil(F.col("n") / largest) - 1).cast("long")
+    piece = lambda k: F.struct(
+        k.alias("piece"), (k * largest).alias("start"), F.least(F.lit(largest), F.col("n") - k * largest).cast("long").alias("length"),
+        *([F.slice("tokens", (k * largest + 1).cast("int"), F.lit(largest)).alias("tokens")] if tokens else []),
+    )
+    pieces = rows.where("n > 0").select("id", "at", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), last), piece)).alias("p")).select("id", "at", "p.*")
+    pieces = pieces.withColumn("shard", F.pmod(F.xxhash64("at", "piece"), F.lit(shards)))
+
+    def work(key: tuple, t: pa.Table) -> pa.Table:
+        t = t.combine_chunks().sort_by([("length", "descending"), ("id", "ascending"), ("piece", "ascending"), ("at", "ascending")])
+        length = t["length"].to_numpy()
+        bins, offset, final = pack_shard(length.tolist(), sizes, cost)
+        order = np.lexsort((offset, bins))
+        t, bins, length = t.take(pa.array(order)), np.array(bins)[order], length[order]
+        parts = np.bincount(bins, minlength=len(final))
+        ends = pa.array(np.concatenate([[0], np.cumsum(parts)]).astype(np.int32))
+        used = np.bincount(bins, weights=length, minlength=len(final)).astype(np.int64)
+        lists = lambda name: pa.ListArray.from_arrays(ends, t[name].combine_chunks())
+        out = {"bin_id": pa.array([f"{key[0]}-{b}" for b in range(len(final))], pa.string()), "bin_size": pa.array(final, pa.int64()), "n_tokens": pa.array(used)}
+        out |= {"ids": lists("id"), "pieces": lists("piece"), "starts": lists("start"), "lengths": lists("length"), "offsets": pa.ListArray.from_arrays(ends, pa.array(np.array(offset, np.int64)[order]))}
+        if tokens:
+            out["tokens"] = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(used)]).astype(np.int32)), t["tokens"].combine_chunks().flatten())
+        return pa.table(out)
+
+    kind = rows.schema["id"].dataType.simpleString()
+    schema = f"bin_id string, bin_size long, n_tokens long, ids array<{kind}>, pieces array<long>, starts array<long>, lengths array<long>, offsets array<long>" + (", tokens array<int>" if tokens else "")
+    return pieces.groupBy("shard").applyInArrow(lambda key, t: work(tuple(k.as_py() for k in key), t), schema)
+
+
+def pack(docs: DataFrame, tokens: Column, id_col: str = "doc_id", sizes: tuple[int, ...] = SIZES, cost: Callable[[int], float] = linear_cost) -> DataFrame:
+    """Packed sequences: (bin_id, bin_size, n_tokens, ids, pieces, starts, lengths, offsets, tokens).
+
+    ``tokens`` is a column array<int> of ``docs``. ids, pieces, starts,
+    lengths and offsets are parallel lists, in the order of the bin: tokens ``start``
+    up to ``start + length`` of the row ``id`` lie at ``offset``. Tokens shuffle once.
+    """
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(tokens, F.array().cast("array<int>")).alias("tokens"))
+    rows = rows.select("id", "tokens", F.size("tokens").cast("long").alias("n"), F.monotonically_increasing_id().alias("at"))
+    return _bins(materialize(rows, "tokens"), sorted(set(sizes)), cost)
+
+
 def plan(docs: DataFrame, length: Column | None = None, id_col: str = "doc_id", text_col: str = "text", sizes: tuple[int, ...] = SIZES, cost: Callable[[int], float] = linear_cost) -> DataFrame:
     """One row for each piece: (id, piece, start, length, bin_id, bin_size, bin_offset).
 
     ``length`` is the column of lengths, by default the number of words. A bin
-    is named by its shard and its number there. A shard holds a bounded number
-    of pieces whatever the input, so no task grows with it.
+    is named by its shard and its number there.
     """
-    sizes = sorted(set(sizes))
-    largest = sizes[-1]
     n = words(F.col(text_col)) if length is None else length.cast("long")
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(n, F.lit(0)).alias("n"), F.xxhash64(whole(F.col(text_col))).alias("th"))
-    rows = materialize(rows, "lengths")
-    count = rows.agg(F.sum(F.greatest(F.lit(1), F.ceil(F.col("n") / largest)))).first()[0] or 0
-    shards = max(1, -(-count // SHARD_PIECES))
-    last = F.greatest(F.lit(0), F.ceil(F.col("n") / largest) - 1)
-    pieces = rows.where("n > 0").select("id", "n", "th", F.explode(F.sequence(F.lit(0).cast("long"), last.cast("long"))).alias("piece"))
-    pieces = pieces.select(
-        "id", "piece", (F.col("piece") * largest).alias("start"), F.least(F.lit(largest), F.col("n") - F.col("piece") * largest).cast("long").alias("length"),
-        F.pmod(F.xxhash64("id", "th", "piece"), F.lit(shards)).alias("shard"),
-    )
-
-    def work(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["length", "id", "piece"], ascending=[False, True, True], kind="stable")
-        bins, offset, final = pack_shard(pdf["length"].tolist(), sizes, cost)
-        bins = np.array(bins)
-        return pd.DataFrame({
-            "id": pdf["id"], "piece": pdf["piece"], "start": pdf["start"], "length": pdf["length"],
-            "bin_id": [f"{key[0]}-{b}" for b in bins], "bin_size": np.array(final, np.int64)[bins], "bin_offset": np.array(offset, np.int64),
-        })
-
-    kind = rows.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, piece long, start long, length long, bin_id string, bin_size long, bin_offset long"
-    packed = pieces.groupBy("shard").applyInPandas(work, schema)
-    none = F.lit(None)
-    empty = rows.where("n = 0").select("id", F.lit(0).cast("long").alias("piece"), F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("length"), none.cast("string").alias("bin_id"), none.cast("long").alias("bin_size"), none.cast("long").alias("bin_offset"))
+    rows = materialize(docs.select(F.col(id_col).alias("id"), F.coalesce(n, F.lit(0).cast("long")).alias("n"), F.monotonically_increasing_id().alias("at")), "lengths")
+    bins = _bins(rows, sorted(set(sizes)), cost)
+    zero, none = F.lit(0).cast("long"), F.lit(None)
+    packed = bins.select("bin_id", "bin_size", F.explode(F.arrays_zip("ids", "pieces", "starts", "lengths", "offsets")).alias("p"))
+    packed = packed.select(F.col("p.ids").alias("id"), F.col("p.pieces").alias("piece"), F.col("p.starts").alias("start"), F.col("p.lengths").alias("length"), "bin_id", "bin_size", F.col("p.offsets").alias("bin_offset"))
+    empty = rows.where("n <= 0").select("id", zero.alias("piece"), zero.alias("start"), zero.alias("length"), none.cast("string").alias("bin_id"), none.cast("long").alias("bin_size"), none.cast("long").alias("bin_offset"))
     return packed.unionByName(empty).withColumnRenamed("id", id_col)
 
 

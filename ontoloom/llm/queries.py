@@ -11,8 +11,15 @@ from . import ann, bpe, chat, exact_dedup, near_dedup, packing, quality, toxicit
 from .common import fold, read
 
 
+def tokens_of(text: str = "text"):
+    """The ids of a text by the public vocabulary, as a column."""
+    import public_tokenizers
+
+    return bpe.encode_by_library(F.col(text), bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
+
+
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.plan(read(spark, sf_dir, "documents"))
+    return packing.pack(read(spark, sf_dir, "documents"), tokens_of()).withColumnRenamed("ids", "doc_ids")
 
 
 #: The rules of the URL query: (verdict, host and path).
