@@ -16,10 +16,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialize
+
 #: 2**20 blocks of 32 bytes: no filter is over 32 MiB.
 MAX_BLOCKS = 1 << 20
 MIN_BLOCKS = 1 << 6
 BITS_A_KEY = 16
+#: With fewer bits a key than these a filter passes more than an eighth of all keys falsely.
+LEAST_BITS = 4
+#: Tasks that fold keys into filters take so many at least, but for a few tasks: each sends a filter.
+FOLD_KEYS, FOLD_TASKS = 1 << 22, 16
 #: Where in the hash the bit positions of a key start; the block is in the low bits.
 SHIFTS = (32, 40, 48, 56)
 WORDS = 4
@@ -144,3 +150,20 @@ def twice_filter(keys: DataFrame, h: str, blocks: int) -> DataFrame:
     longs = ", ".join(f"w{w} long" for w in range(WORDS))
     parts = keys.select(h).mapInArrow(local, "block long, " + ", ".join(f"o{w} long" for w in range(WORDS)) + ", " + longs)
     return parts.repartition("block").mapInArrow(meet, "block long, " + longs)
+
+
+def repeats(keys: DataFrame, h: str) -> tuple[DataFrame, int]:
+    """A filter that every hash passes which occurs twice in column ``h`` of a written table, and its blocks.
+
+    As long as a filter of all hashes has ``LEAST_BITS`` for each, it is folded
+    in two passes. Beyond (some 67 million hashes) no filter that can be
+    broadcast would tell them apart: there the hashes, eight bytes each, are
+    counted in shards first, and the filter has only those that do repeat.
+    """
+    total = keys.count()
+    if total * LEAST_BITS <= MAX_BLOCKS * 256:
+        blocks = blocks_for(total)
+        return materialize(twice_filter(keys.select(h).coalesce(max(FOLD_TASKS, total // FOLD_KEYS)), h, blocks), "repeats"), blocks
+    again = materialize(keys.groupBy(h).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(h), "repeated")
+    blocks = blocks_for(again.count())
+    return materialize(once_filter(again, h, blocks), "repeats"), blocks

@@ -3,8 +3,9 @@
 Pass one folds the hashes of all texts into a filter of the bits that were set
 twice. Pass two tests each row: rows that miss are unique beyond doubt and
 pass straight through; only possible repeats shuffle, and an exact grouping on
-SHA-256 settles them. A filter that is too small (``bloom.MAX_BLOCKS``) makes
-more rows shuffle and changes no result.
+SHA-256 settles them. A filter is at most ``bloom.MAX_BLOCKS`` large. Where that
+is too small for all hashes (``bloom.repeats``), pass one counts the 8-byte hashes
+in shards and the filter holds the repeated ones; no result changes.
 
 Defined cases: a null text counts as empty; empty texts are equal to each
 other. Of equal texts the smallest id stays, a null id after all others; of
@@ -28,8 +29,7 @@ def normal(text: Column) -> Column:
 
 def _groups(keys: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     """keys (id, sha, h) -> the filter, the groups (sha, keep_id, ties, size) of possible repeats, blocks."""
-    blocks = bloom.blocks_for(keys.count())
-    filt = materialize(bloom.twice_filter(keys, "h", blocks), "repeats")
+    filt, blocks = bloom.repeats(keys, "h")
     maybe = bloom.hits(keys, "h", filt, blocks, "maybe").where("maybe")
     by_id = maybe.groupBy("sha", "id").agg(F.count(F.lit(1)).alias("n"))
     least = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "n"))
