@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ontoloom.durable import discard, materialize, scratch, shared_dir
@@ -27,13 +27,13 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string")), F.lit(folds))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int, rows: int) -> DataFrame:
-    """At most ``rows`` labelled documents that are not held out: (doc_id, text, y).
+def labelled(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int, rows: int, most_bytes: int) -> DataFrame:
+    """At most ``rows`` labelled documents, of ``most_bytes`` in all, that are not held out: (doc_id, text, y).
 
-    The bound is the classifiers' documented sample: the ids first in the
-    order of a hash are taken, the same ones at each run. Labels that are
-    null take no part; of contradicting ones the largest counts, of texts that
-    share an id the least.
+    The bounds are the classifiers' documented sample: whole texts in the order
+    of a hash of their ids, the same ones at each run; a text of more than an
+    eighth of the bytes takes no part. Labels that are null take no part; of
+    contradicting ones the largest counts, of texts that share an id the least.
     """
     train = fold(F.col("doc_id"), folds) != held
     ids = docs.select("doc_id").where(train).distinct()
@@ -44,5 +44,8 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: i
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     )
     picked = materialize(picked, "labelled")  # rows are bounded, so the broadcast is
-    rows = docs.select("doc_id", whole(F.col("text")).alias("text")).join(F.broadcast(picked), "doc_id")
-    return rows.groupBy("doc_id", "y").agg(F.min("text").alias("text"))
+    found = docs.select("doc_id", whole(F.col("text")).alias("text")).where(F.octet_length("text") <= most_bytes // 8).join(F.broadcast(picked), "doc_id")
+    found = materialize(found.groupBy("doc_id", "y").agg(F.min("text").alias("text")), "labelled-texts")
+    order = Window.orderBy(F.xxhash64("doc_id"), "doc_id")  # of ``rows`` sizes at most
+    sizes = found.select("doc_id", F.sum(F.octet_length("text")).over(order).alias("total")).where(F.col("total") <= most_bytes)
+    return found.join(F.broadcast(sizes.select("doc_id")), "doc_id", "left_semi")

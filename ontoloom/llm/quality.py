@@ -3,17 +3,18 @@
 Two zstandard dictionaries are trained, one on good and one on bad labelled
 text. Every text is cut into blocks of ``BLOCK`` bytes and each block is
 compressed with both; a text that is like the good one comes out smaller with
-the good dictionary. The normalised difference of the sizes, of the whole text
-and of its most extreme blocks, and the sizes themselves become a score by
-logistic calibration on labelled documents, each seen through dictionaries
-that were trained without it.
-
-The fit sees a bounded sample (``SAMPLE_ROWS`` labelled rows, ``DICT_BLOCKS``
-blocks of a class); scoring reads every byte of every text. Labels, language,
-source and id never enter a score.
-
-Defined cases: a null text counts as empty; an empty text has its own constant
-score, that of a block of no size. With no label of one
+the good dictionary. The difference of the two sizes, over all blocks and
+divided by the text's own size, is the only thing that is known of a text
+besides its length: a logistic calibration on labelled documents, each seen
+through dictionaries that were trained without it, makes a score of the
+difference, and the length says how far to trust it.
+
+The fit sees a bounded sample (``SAMPLE_ROWS`` labelled rows, whole texts of
+``SAMPLE_BYTES`` in all); scoring reads every byte of every text. Labels,
+language, source and id never enter a score.
+
+Defined cases: a null text counts as empty; an empty text has a difference of
+0 and no length, so one score for all of them. With no label of one
 kind in the sample that dictionary is empty, and every score is the
 (smoothed) share of good labels when only one kind exists at all.
 """
@@ -31,12 +32,11 @@ from pyspark.sql import functions as F
 
 from .common import labelled, materialize, whole
 
-SAMPLE_ROWS = 12_000
-DICT_BLOCKS = 4_000
+SAMPLE_ROWS, SAMPLE_BYTES = 12_000, 48 << 20
 DICT_BYTES = 112 << 10
-BLOCK = 2048
+BLOCK = 512
 LEVEL = 3
-#: Bytes added below a fraction, so that a text of a few words can't have an extreme one.
+#: Bytes added below the fraction, so that a text of a few words can't have an extreme one.
 SMOOTH = 24
 FOLDS, HELD = 4, 2
 
@@ -51,7 +51,12 @@ class Model:
 
 
 def blocks(data: bytes) -> list[bytes]:
-    return [data[i : i + BLOCK] for i in range(0, len(data), BLOCK)]
+    """Blocks of ``BLOCK`` bytes; a short last one is part of the one before."""
+    parts = [data[i : i + BLOCK] for i in range(0, len(data), BLOCK)]
+    if len(parts) > 1 and len(parts[-1]) < BLOCK // 8:
+        last = parts.pop()
+        parts[-1] += last
+    return parts
 
 
 def dictionary(samples: list[bytes]) -> bytes:
@@ -71,23 +76,13 @@ def _compressor(raw: bytes) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(raw), compression_params=params)
 
 
-N_FEATURES = 6
+N_FEATURES = 2
 
 
 def features(data: bytes, good: zstandard.ZstdCompressor, bad: zstandard.ZstdCompressor) -> list[float]:
-    """Normalised differences (whole, most good, most bad block), sizes per byte (whole, least block), share of bad blocks."""
-    if not data:
-        return [0.0] * N_FEATURES
-    parts = blocks(data)
-    if len(parts) > 1 and len(parts[-1]) < BLOCK // 8:
-        last = parts.pop()
-        parts[-1] += last
-    g = [len(good.compress(p)) for p in parts]
-    b = [len(bad.compress(p)) for p in parts]
-    d = [(y - x) / (max(x, y) + SMOOTH) for x, y in zip(g, b, strict=True)]
-    r = [x / (len(p) + SMOOTH) for x, p in zip(g, parts, strict=True)]
-    sg, sb = sum(g), sum(b)
-    return [(sb - sg) / (max(sg, sb) + SMOOTH), max(d), min(d), sg / (len(data) + SMOOTH), min(r), sum(x < 0 for x in d) / len(d)]
+    """The normalised compressed-size difference, and the logarithm of the length."""
+    g, b = good.compress, bad.compress
+    return [sum(len(b(p)) - len(g(p)) for p in blocks(data)) / (len(data) + SMOOTH), float(np.log(len(data) + SMOOTH))]
 
 
 def _expand(x: np.ndarray) -> np.ndarray:
@@ -110,43 +105,23 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 50)
     return w
 
 
-def _feature_udf(good: bytes, bad: bytes):
-    @F.arrow_udf("array<double>")
-    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        g, b = _compressor(good), _compressor(bad)
-        for texts in batches:
-            yield pa.array([features(t.as_py() or b"", g, b) for t in texts.cast(pa.binary())], pa.list_(pa.float64()))
-
-    return of
-
-
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    sample = materialize(labelled(docs, labels, "quality", FOLDS, HELD, SAMPLE_ROWS), "quality-sample")
+    sample = materialize(labelled(docs, labels, "quality", FOLDS, HELD, SAMPLE_ROWS, SAMPLE_BYTES), "quality-sample")
     half = F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2))
+    rows = sample.select("doc_id", "y", "text", half.alias("half")).orderBy("doc_id").collect()  # SAMPLE_BYTES at most
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for y, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
-                got = blocks(text.as_py())
-                for i in range(0, len(got), 1000):
-                    yield pa.RecordBatch.from_arrays([pa.array([y] * len(got[i : i + 1000]), pa.int32()), pa.array(got[i : i + 1000], pa.binary())], ["y", "block"])
-
-    def trained(part: DataFrame) -> tuple[bytes, bytes]:
-        cuts = part.select("y", "text").mapInArrow(cut, "y int, block binary")
-        taken = []
-        for y in (1, 0):
-            rows = cuts.where(F.col("y") == y).select("block").orderBy(F.xxhash64("block"), "block").limit(DICT_BLOCKS).collect()
-            taken.append(dictionary([bytes(r.block) for r in rows]))
-        return taken[0], taken[1]
+    def trained(part: list) -> tuple[bytes, bytes]:
+        good, bad = (dictionary([p for r in part if r.y == y for p in blocks(r.text.encode())]) for y in (1, 0))
+        return good, bad
 
     # each half is seen through the dictionaries of the other, for the calibration
-    rows = []
+    x, y = [], []
     for k in (0, 1):
-        good, bad = trained(sample.where(half == 1 - k))
-        rows += sample.where(half == k).select("y", _feature_udf(good, bad)("text").alias("f")).collect()
-    good, bad = trained(sample)
-    x = np.array([r.f for r in rows], float).reshape(-1, N_FEATURES)
-    y = np.array([r.y for r in rows], float)
+        g, b = map(_compressor, trained([r for r in rows if r.half != k]))
+        x += [features(r.text.encode(), g, b) for r in rows if r.half == k]
+        y += [r.y for r in rows if r.half == k]
+    good, bad = trained(rows)
+    x, y = np.array(x, float).reshape(-1, N_FEATURES), np.array(y, float)
     if not len(y) or y.min() == y.max():
         share = (y.sum() + 1) / (len(y) + 2)
         weights = np.zeros(_expand(np.zeros((1, N_FEATURES))).shape[1])
@@ -165,7 +140,7 @@ def score(text: Column, model: Model) -> Column:
         g, b = _compressor(m.good), _compressor(m.bad)
         for texts in batches:
             x = np.array([features(t.as_py() or b"", g, b) for t in texts.cast(pa.binary())], float).reshape(-1, N_FEATURES)
-            z = _expand(np.clip((x - m.centre) / m.scale, -8, 8)) @ m.weights
+            z = _expand((x - m.centre) / m.scale) @ m.weights
             yield pa.array(1 / (1 + np.exp(-np.clip(z, -35, 35))))
 
     return of(whole(text))

@@ -15,9 +15,11 @@ the clean tokens' scores, K is fitted to clean documents. A segment is
 significant if E <= ``E_MAX``.
 
 Score. A document's evidence is -ln E of its best segment and the sum over its
-significant ones; logistic calibration on labelled documents makes it a score.
+significant ones, both as ln(1 + x); logistic calibration on labelled documents makes it a score.
 
-The fit sees at most ``SAMPLE_ROWS`` labelled rows; scoring reads whole texts.
+The fit sees a bounded sample (``SAMPLE_ROWS`` labelled rows, whole texts of
+``SAMPLE_BYTES`` in all), so the words it learns are bounded too; scoring reads
+whole texts.
 Defined cases: a null text counts as empty and an empty text has no segment;
 both get the score of a document without evidence. Without labels of both
 kinds every score is the smoothed share of toxic labels.
@@ -38,15 +40,13 @@ from pyspark.sql import functions as F
 from .common import labelled, materialize, whole
 from .quality import logistic
 
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS, SAMPLE_BYTES = 20_000, 64 << 20
 FOLDS, HELD = 5, 0
 STEM = 4
 STEM_PRIOR, TOKEN_PRIOR = 10.0, 5.0
 Z = 2.5
 DRIFT = 0.25
 E_MAX = 0.05
-#: A model holds at most so many tokens and stems, those with the highest z.
-MODEL_TOKENS = 100_000
 
 _TOKEN = re.compile(r"\w+")
 
@@ -143,7 +143,7 @@ class Scanner:
         words = tokens(text)
         least = -np.log(E_MAX)
         each = [self.surprise(s.score, len(words)) for s in segments(self.positives(words))]
-        return min(max([0.0, *each]), 60.0), float(np.log1p(sum(x for x in each if x >= least)))
+        return float(np.log1p(max([0.0, *each]))), float(np.log1p(sum(x for x in each if x >= least)))
 
 
 def _counts(sample: DataFrame) -> DataFrame:
@@ -182,7 +182,7 @@ def _lam(values: np.ndarray, rates: np.ndarray, drift: float) -> float:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    sample = materialize(labelled(docs, labels, "toxic", FOLDS, HELD, SAMPLE_ROWS), "toxic-sample")
+    sample = materialize(labelled(docs, labels, "toxic", FOLDS, HELD, SAMPLE_ROWS, SAMPLE_BYTES), "toxic-sample")
     counts = materialize(_counts(sample), "tokens")
     total = counts.agg(F.sum("y"), F.sum("n")).first()
     toxic, everything = total[0] or 0, total[1] or 0
@@ -200,14 +200,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     met = counts.join(stems.select("stem", "share"), (stem == F.col("stem")) & long, "left")
     d, z = _log_odds(F.col("y"), F.col("n"), F.coalesce("share", F.lit(base)), TOKEN_PRIOR, base)
     strong = met.select("token", d.alias("d"), z.alias("z"), (F.col("n") - F.col("y")).alias("clean")).where(f"z >= {Z} and d > 0")
-    rows = strong.orderBy(F.desc("z"), "token").limit(MODEL_TOKENS).collect()
-    stem_rows = stems.where(f"z >= {2 * Z} and d > 0").orderBy(F.desc("z"), "stem").limit(MODEL_TOKENS).collect()
+    rows = strong.orderBy("token").collect()  # no more than the sample's bytes can hold
+    stem_rows = stems.where(f"z >= {2 * Z} and d > 0").orderBy("stem").collect()
     words, heads = {r.token: r.d for r in rows}, {r.stem: r.d for r in stem_rows}
     # a token of a toxic stem that is known to be clean has no weight
     if heads:
         innocent = met.select("token", "stem", d.alias("d"), "n").where("d <= 0 and n >= 2")
         innocent = innocent.join(stems.where(f"z >= {2 * Z} and d > 0").select("stem"), "stem", "left_semi")
-        words |= {r.token: 0.0 for r in innocent.orderBy(F.desc("n"), "token").limit(MODEL_TOKENS).collect()}
+        words |= {r.token: 0.0 for r in innocent.select("token").collect()}
 
     lam = 1.0
     if rows or stem_rows:
