@@ -16,8 +16,9 @@ rules, and shuffled otherwise.
 Defined cases: host and path are empty for a null URL and one without
 ``://``; such a URL, and one that no rule fits, has a null rule and the
 default verdict. Of repeated rules an allowing one counts. Repeated rows and
-null ids each keep their row. Extra columns pass through; columns named
-host, path, rule or verdict are replaced.
+null ids each keep their row. Extra columns pass through whatever their names
+are; columns named host, path, rule or verdict, in any case of letters, make
+room for the results.
 """
 
 from __future__ import annotations
@@ -27,7 +28,10 @@ from pyspark.sql import functions as F
 
 from . import bloom
 
-BROADCAST_RULES = 200_000
+BROADCAST_BYTES = 8 << 20
+#: Bytes of a broadcast rule besides its strings.
+_RULE_BYTES = 64
+_OWN = ("host", "path", "rule", "verdict")
 ALLOW, BLOCK = "allow", "block"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -48,9 +52,15 @@ def canonical(pages: DataFrame, url: str = "url") -> DataFrame:
 
 
 def rules_table(spark: SparkSession, rules: list[tuple[str, str]]) -> DataFrame:
-    """(verdict, 'host/path') pairs as a table (key, host_len, verdict)."""
-    df = spark.createDataFrame(rules, "verdict string, key string")
-    return df.select("key", (F.instr("key", "/") - 1).alias("host_len"), "verdict")
+    """(verdict, 'host/path') pairs as a table (key, host_len, verdict) of literals."""
+    if not rules:
+        return rules_table(spark, [(ALLOW, "/")]).where("false")
+    rows = F.array(*[F.struct(F.lit(key).alias("key"), F.lit(verdict).alias("verdict")) for verdict, key in rules])
+    return spark.range(1).select(F.explode(rows).alias("r")).select("r.key", (F.instr("r.key", "/") - 1).alias("host_len"), "r.verdict")
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def _one_each(rules: DataFrame) -> DataFrame:
@@ -63,25 +73,25 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = ALLOW, page_id: str
     rules: (key, host_len, verdict), key being host and path in one string.
     """
     rules = _one_each(rules)
-    total = rules.count()
-    h = F.xxhash64("key")
+    total, size = rules.agg(F.count(F.lit(1)), F.sum(F.octet_length("key") + F.octet_length("verdict") + _RULE_BYTES)).first()
     blocks = bloom.blocks_for(total)
-    filt = bloom.once_filter(rules.select(h.alias("h")), "h", blocks)
+    filt = bloom.once_filter(rules.select(F.xxhash64("key").alias("h")), "h", blocks)
     # distinct path lengths: as many as the longest path of a rule has letters, at most
     lengths = sorted(r[0] for r in rules.select(F.length("key") - F.col("host_len")).distinct().collect())
 
-    base = canonical(pages.drop("rule", "verdict"), url)
+    # a page's own columns stay in one struct, so no name of theirs can clash
+    base = canonical(pages.select(F.struct("*").alias("row"), F.col(_quoted(page_id)).alias("id"), F.col(_quoted(url)).cast("string").alias("url")), "url")
     labels = F.split("host", r"\.")
     n = F.size(labels)
     suffixes = F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(labels, i, n), "."))
-    rows = base.where("host <> ''").select(F.col(page_id).alias("__id"), F.col(url).alias("__url"), "path", F.explode(suffixes).alias("suffix"))
+    rows = base.where("host <> ''").select("id", "url", "path", F.explode(suffixes).alias("suffix"))
     fits = F.filter(F.array(*[F.lit(x) for x in lengths]) if lengths else F.array().cast("array<int>"), lambda x: x <= F.length("path"))
-    rows = rows.select("__id", "__url", "suffix", "path", F.explode(fits).alias("take"))
-    rows = rows.select("__id", "__url", F.concat("suffix", F.expr("substring(path, 1, take)")).alias("cand")).withColumn("h", F.xxhash64("cand"))
-    possible = bloom.hits(rows, "h", filt, blocks, "maybe").where("maybe").select("__id", "__url", "cand")
-    listed = F.broadcast(rules) if total <= BROADCAST_RULES else rules
+    rows = rows.select("id", "url", "suffix", "path", F.explode(fits).alias("take"))
+    rows = rows.select("id", "url", F.concat("suffix", F.expr("substring(path, 1, take)")).alias("cand")).withColumn("h", F.xxhash64("cand"))
+    possible = bloom.hits(rows, "h", filt, blocks, "maybe").where("maybe").select(F.col("id").alias("hit_id"), F.col("url").alias("hit_url"), "cand")
+    listed = F.broadcast(rules) if (size or 0) <= BROADCAST_BYTES else rules
     true = possible.join(listed, F.col("cand") == F.col("key"))
-    best = true.groupBy("__id", "__url").agg(F.max(F.struct(F.length("key").alias("n"), "host_len", "key", "verdict")).alias("__best"))
-    out = base.join(best, F.col(page_id).eqNullSafe(F.col("__id")) & (F.col(url) == F.col("__url")), "left")
-    keep = [F.col(c) for c in base.columns]
-    return out.select(*keep, F.col("__best.key").alias("rule"), F.coalesce("__best.verdict", F.lit(default)).alias("verdict"))
+    best = true.groupBy("hit_id", "hit_url").agg(F.max(F.struct(F.length("key").alias("n"), "host_len", "key", "verdict")).alias("best"))
+    out = base.join(best, F.col("id").eqNullSafe(F.col("hit_id")) & (F.col("url") == F.col("hit_url")), "left")
+    keep = [F.col("row." + _quoted(c)).alias(c) for c in pages.columns if c.lower() not in _OWN]
+    return out.select(*keep, "host", "path", F.col("best.key").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
