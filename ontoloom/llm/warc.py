@@ -13,7 +13,9 @@ nodes, or the records that start within LEAF_RANGE bytes. So no group grows
 with a file, and a file that holds a third of all records is no hot spot.
 
 Defined cases: null payloads count as empty; a null URL is written as an empty
-one. Records of equal offset (an overlay of copies) are ordered by hash.
+one. Pages with a null id are dealt to files of their own (-1, -2, ...) by their
+hashes. Equal records, of repeated rows or at one offset, are counted and never
+gathered one by one; records of equal offset are ordered by hash.
 A file that one replica lacks mismatches at its root. Empty replicas are equal.
 """
 
@@ -42,15 +44,22 @@ def record(url: Column, payload: Column, number: Column) -> Column:
 
 
 def records(pages: DataFrame, payload: Column | None = None) -> DataFrame:
-    """pages (page_id, url, html) -> (file, offset, length, page_id, hash): what a writer would lay down.
+    """pages (page_id, url, html) -> (file, page_id, length, hash, offset): what a writer would lay down.
 
-    ``payload`` takes the place of html in a replica. A null id goes to file -1.
+    ``payload`` takes the place of html in a replica. A file's order is that of ids, then of hashes.
     """
     html = F.col("html") if payload is None else payload
     data = record(F.col("url"), html, F.col("page_id"))
-    rows = pages.select(F.coalesce(F.floor(F.col("page_id") / FILE_RECORDS), F.lit(-1)).cast("long").alias("file"), "page_id", F.octet_length(data).cast("long").alias("length"), F.unhex(F.sha2(data, 256)).alias("hash"))
-    order = Window.partitionBy("file").orderBy("page_id", "hash")
-    return rows.withColumn("offset", F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("length"))
+    rows = pages.select("page_id", F.octet_length(data).cast("long").alias("length"), F.unhex(F.sha2(data, 256)).alias("hash"))
+    nulls = pages.where("page_id is null").count()
+    own = -1 - F.pmod(F.xxhash64("hash"), F.lit(max(1, nulls // FILE_RECORDS)))
+    file = F.when(F.col("page_id").isNull(), own).otherwise(F.floor(F.col("page_id") / FILE_RECORDS)).cast("long")
+    rows = rows.groupBy(file.alias("file"), "page_id", "hash", "length").agg(F.count(F.lit(1)).alias("copies"))
+    order = Window.partitionBy("file").orderBy("page_id", "hash").rowsBetween(Window.unboundedPreceding, 0)
+    size = F.col("length") * F.col("copies")
+    rows = rows.withColumn("start", F.sum(size).over(order) - size)
+    copy = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy")
+    return rows.select("file", "page_id", "length", "hash", "start", copy).select("file", "page_id", "length", "hash", (F.col("start") + F.col("copy") * F.col("length")).alias("offset"))
 
 
 def _hash(children: Column) -> Column:
@@ -69,7 +78,9 @@ def height(*replicas: DataFrame) -> int:
 
 def tree(leaves: DataFrame, top: int) -> DataFrame:
     """(file, offset, length, hash) -> (file, level, idx, hash): level 0 ranges up to a root per file at ``top``."""
-    level0 = leaves.select("file", F.floor(F.col("offset") / LEAF_RANGE).alias("idx"), F.struct(F.concat_ws("+", F.lpad(F.col("offset").cast("string"), 20, "0"), F.col("length").cast("string")).alias("k"), "hash").alias("c"))
+    each = leaves.groupBy("file", "offset", "length", "hash").agg(F.count(F.lit(1)).alias("n"))
+    place = F.concat_ws("+", F.lpad(F.col("offset").cast("string"), 20, "0"), F.col("length").cast("string"), F.col("n").cast("string"))
+    level0 = each.select("file", F.floor(F.col("offset") / LEAF_RANGE).alias("idx"), F.struct(place.alias("k"), "hash").alias("c"))
     out = now = materialize(level0.groupBy("file", "idx").agg(_hash(F.sort_array(F.collect_list("c"))).alias("hash")).select("file", F.lit(0).alias("level"), "idx", "hash"), "tree")
     for level in range(1, top + 1):
         up = now.select("file", F.floor(F.col("idx") / FANOUT).alias("idx"), F.struct(F.col("idx").alias("k"), "hash").alias("c"))
