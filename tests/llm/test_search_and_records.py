@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ontoloom.llm import ann, bloom, chat, packing, url_filter, warc
+from tests.llm.test_text_models import check_bins
 
 # --- URL filter ------------------------------------------------------------------------
 
@@ -122,6 +123,54 @@ def test_neighbours(spark):
     assert [i for _, _, i in sorted(got[2000])] == list(range(2001, 2011))
 
 
+def recall(spark, x, **kw):
+    """Mean recall at 10 of every hundredth vector, and the share of lists that were probed."""
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    shares = []
+    plain = ann.lists_needed
+
+    def seen(vectors, quantiser, sample, k):
+        n = plain(vectors, quantiser, sample, k)
+        shares.append(n / len(quantiser.centroids))
+        return n
+
+    ann.lists_needed = seen
+    try:
+        got = {}
+        for r in ann.search(df, F.col("id") % 100 == 0, **kw).collect():
+            got.setdefault(r.query_id, set()).add(r.id)
+    finally:
+        ann.lists_needed = plain
+    hits = []
+    for q in range(0, len(x), 100):
+        d = ((x - x[q]) ** 2).sum(1)
+        d[q] = np.inf
+        hits.append(len(got[q] & set(np.argsort(d, kind="stable")[:10].tolist())) / 10)
+    return float(np.mean(hits)), shares[0]
+
+
+def test_recall_where_lists_are_pruned(spark):
+    """20,000 vectors in clusters: a tenth of the lists is enough, and the number is found by measuring."""
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(200, 32))[rng.integers(0, 200, 20_000)] + 0.3 * rng.normal(size=(20_000, 32))
+    found, share = recall(spark, x)
+    assert share <= 0.2 and found >= 0.95
+
+
+def test_recall_without_structure(spark):
+    """Independent components: most lists are needed, and taken."""
+    x = np.random.default_rng(8).normal(size=(20_000, 32))
+    found, share = recall(spark, x)
+    assert share < 1 and found >= 0.9
+
+
+def test_shared_ids_and_other_lengths(spark):
+    rows = [(100, [1.0, 0.0]), (100, [2.0, 0.0]), (1, [1.5, 0.0]), (1, [1.25, 0.0]), (200, [1.0, 1.0, 1.0]), (2, [1.0, 1.0, 2.0]), (300, [1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r.query_id, r.rank, r.id, r.score) for r in ann.search(df, F.col("id") % 100 == 0).collect())
+    assert got == [(100, 1, 1, 0.25), (100, 1, 1, 0.5), (100, 2, 1, 0.5), (100, 2, 1, 0.75), (100, 3, 100, 1.0), (100, 3, 100, 1.0), (200, 1, 2, 1.0)]
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 5])
 def test_few_vectors(spark, n):
     df = spark.createDataFrame([(100 * i, [float(i + 1), 1.0]) for i in range(n)], "vec_id long, embedding array<float>")
@@ -184,6 +233,47 @@ def test_packing_cost_equals_brute_force(cost):
         assert total >= sum(lengths)
 
 
+def test_plan_equals_brute_force(spark, monkeypatch):
+    """Several shards, each as good as the best of all bounds; large ids beside null ones stay as they are."""
+    monkeypatch.setattr(packing, "SHARD_PIECES", 60)
+    rng = random.Random(6)
+    big = 2**53 + 1
+    rows = [(big + i if i % 7 else None, rng.choice([0, 1, 60, 64, 65, 128, 200, 511, 512, 513, 1300])) for i in range(300)]
+    df = spark.createDataFrame([(i, n, "x") for i, n in rows], "doc_id long, n long, bin_id string")
+    sizes = [64, 128, 512]
+    got = packing.plan(df, F.col("n"), sizes=tuple(sizes)).collect()
+    assert sorted(str(r.doc_id) for r in got if r.piece == 0) == sorted(str(i) for i, _ in rows)
+    assert sorted(r.length for r in got) == sorted(k for _, n in rows for k in ([512] * (n // 512) + [n % 512] * (n % 512 > 0) or [0]))
+    shards = {}
+    for r in got:
+        if r.bin_id is not None:
+            shards.setdefault(r.bin_id.split("-")[0], []).append(r)
+    assert len(shards) > 3
+    for rs in shards.values():
+        cost = sum(packing.linear_cost(s) for s in {r.bin_id: r.bin_size for r in rs}.values())
+        lengths = sorted((r.length for r in rs), reverse=True)
+        assert cost == min(best_fit(lengths, sizes, packing.linear_cost, b) for b in sizes)
+
+
+def test_repeated_rows_spread(spark, monkeypatch):
+    """A third of all rows repeat one id and text, a third have no id: no shard holds many more pieces than others."""
+    monkeypatch.setattr(packing, "SHARD_PIECES", 500)
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.col("id")).alias("doc_id"), F.lit("same words in all").alias("text"))
+    got = packing.plan(df)
+    per = [r["count"] for r in got.groupBy(F.split("bin_id", "-")[0]).count().collect()]
+    assert sum(per) == 30_000 and len(per) == 60 and max(per) < 700
+    assert got.where("doc_id = 7").count() == 10_000
+
+
+def test_sequences_hold_all_tokens(spark):
+    rng = random.Random(9)
+    rows = [(i, [rng.randrange(50_000) for _ in range(rng.choice([0, 1, 300, 2048, 2049, 5000]))]) for i in range(60)] + [(100, None)]
+    df = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, t array<int>, tokens string")
+    out = packing.pack(df, F.col("t")).withColumnRenamed("ids", "doc_ids")
+    check_bins(out.collect(), dict(rows))
+    assert packing.pack(df.where("false"), F.col("t")).count() == 0
+
+
 def test_packed_text(spark, docs):
     df = docs([(1, "a b c"), (2, "d  e"), (3, "f " * 3000)])
     text = packing.render(df, packing.plan(df)).collect()

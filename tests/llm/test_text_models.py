@@ -1,5 +1,8 @@
+import math
 import random
 import re
+import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -7,10 +10,11 @@ import pyarrow.parquet as pq
 import pytest
 import public_tokenizers
 import tiktoken
+import zstandard
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ontoloom.llm import bpe, packing, quality, queries, toxicity
+from ontoloom.llm import bpe, common, packing, quality, queries, toxicity
 from tests.llm.test_dedup import family, shingle_set
 
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -39,6 +43,14 @@ def test_encoder_equals_the_library():
     assert all(e.ids(t) == LIBRARY.encode_ordinary(t) for t in texts[:60])
 
 
+def test_encoding_by_library_is_the_same(spark, docs):
+    more = [" " * 300_000, "\n" * 200_000 + "x", "a b" * 100_000]
+    df = docs(list(enumerate(TEXTS + more)))
+    both = df.select(bpe.encode(F.col("text"), VOCAB, public_tokenizers.PATTERN).alias("a"), bpe.encode_by_library(F.col("text"), VOCAB, public_tokenizers.PATTERN).alias("b"))
+    assert both.where("a = b").count() == len(TEXTS) + 3
+    assert both.where("false").count() == 0
+
+
 def test_round_trip(spark, docs):
     df = docs([(i, t) for i, t in enumerate(TEXTS)] + [(0, "again"), (None, "null id")])
     ids = df.select("doc_id", "text", bpe.encode(F.col("text"), VOCAB, public_tokenizers.PATTERN).alias("ids"))
@@ -113,8 +125,6 @@ def folder(tmp_path_factory):
 
 @pytest.mark.parametrize("name, k, folds, held, bar", [("op7_quality", 1, 4, 2, 0.9), ("op5_toxicity", 2, 5, 0, 0.9)])
 def test_classifiers_on_held_out_rows(spark, folder, name, k, folds, held, bar):
-    import zlib
-
     at, rows, labels = folder
     got = {r.doc_id: r for r in queries.ALL[name](spark, at).collect()}
     assert set(got) == set(rows)
@@ -127,6 +137,119 @@ def test_classifiers_on_held_out_rows(spark, folder, name, k, folds, held, bar):
     assert all(abs(again[i] - r.score) < 1e-9 for i, r in got.items())
 
 
+def train_rows(rows, labels, k, folds, held):
+    return [(i, rows[i], x[k]) for i, x in labels.items() if zlib.crc32(str(i).encode()) % folds != held]
+
+
+def test_quality_equals_brute_force(spark, folder):
+    """Scores from the two dictionaries by hand; the weights are the optimum of the calibration."""
+    at, rows, labels = folder
+    model = quality.fit(spark.read.parquet(at + "/documents.parquet"), spark.read.parquet(at + "/labels.parquet"))
+    got = {r.doc_id: r.score for r in queries.op7_quality(spark, at).collect()}
+
+    def size(data, raw):
+        params = zstandard.ZstdCompressionParameters.from_level(3, write_content_size=False, write_checksum=False, write_dict_id=False)
+        at = [*range(0, len(data), 512), len(data)]
+        if len(at) > 2 and at[-1] - at[-2] < 64:
+            del at[-2]
+        one = zstandard.ZstdCompressor(compression_params=params, dict_data=zstandard.ZstdCompressionDict(raw))
+        return sum(len(one.compress(data[a:b])) for a, b in zip(at, at[1:], strict=False))
+
+    def row(text, good, bad):
+        data = (text or "").encode()
+        return (size(data, bad) - size(data, good)) / (len(data) + 24), math.log(len(data) + 24)
+
+    def design(x):
+        u, v = ((x - model.centre) / model.scale).T
+        return np.stack([np.ones_like(u), u, v, u * u, u * v, v * v], 1)
+
+    z = design(np.array([row(t, model.good, model.bad) for t in rows.values()])) @ model.weights
+    assert np.allclose([got[i] for i in rows], 1 / (1 + np.exp(-z)), atol=1e-12)
+
+    train = train_rows(rows, labels, 1, 4, 2)
+    half = {r.doc_id: r.h for r in spark.createDataFrame([(i,) for i, *_ in train], "doc_id long").select("doc_id", F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)).alias("h")).collect()}
+    cut = lambda part, y: [b for i, t, q in sorted(part) if q == y for b in quality.blocks(t.encode())]
+    x, y = [], []
+    for k in (0, 1):
+        other = [r for r in train if half[r[0]] != k]
+        good, bad = (quality.dictionary(cut(other, q)) for q in (1, 0))
+        x += [row(t, good, bad) for i, t, _ in train if half[i] == k]
+        y += [q for i, _, q in train if half[i] == k]
+    x = np.array(x)
+    assert np.allclose(model.centre, x.mean(0)) and np.allclose(model.scale, x.std(0), atol=1e-8)
+    d = design(x)
+    p = 1 / (1 + np.exp(-(d @ model.weights)))
+    slope = d.T @ (p - np.array(y)) + model.weights * np.array([1e-6, 1, 1, 1, 1, 1])
+    assert np.abs(slope).max() < 1e-4
+
+
+def test_toxicity_equals_brute_force(spark, folder):
+    """Weights, lambda, K, evidence and calibration by hand."""
+    at, rows, labels = folder
+    model = toxicity.fit(spark.read.parquet(at + "/documents.parquet"), spark.read.parquet(at + "/labels.parquet"))
+    train = [(set(toxicity.tokens(t)), toxicity.tokens(t), y) for _, t, y in train_rows(rows, labels, 2, 5, 0)]
+    n, toxic = Counter(), Counter()
+    for own, _, y in train:
+        n.update(own)
+        toxic.update(own if y else ())
+    base = sum(toxic.values()) / sum(n.values())
+
+    def odds(y, k, share, prior):
+        a, b = y + prior * share, k - y + prior * (1 - share)
+        d = math.log(a / b) - math.log(base / (1 - base))
+        return d, d / math.sqrt(1 / a + 1 / b)
+
+    sy, sn = Counter(), Counter()
+    for t in n:
+        if len(t) > 4:
+            sy[t[:4]] += toxic[t]
+            sn[t[:4]] += n[t]
+    stems = {s: odds(sy[s], sn[s], base, 10.0) for s in sn}
+    words = {t: odds(toxic[t], n[t], (sy[t[:4]] + 10 * base) / (sn[t[:4]] + 10) if len(t) > 4 else base, 5.0) for t in n}
+    heads = {s: d for s, (d, z) in stems.items() if z >= 5 and d > 0}
+    strong = {t: d for t, (d, z) in words.items() if z >= 2.5 and d > 0}
+    innocent = {t: 0.0 for t, (d, _) in words.items() if len(t) > 4 and t[:4] in heads and d <= 0 and n[t] >= 2}
+    assert set(model.stems) == set(heads) and set(model.words) == set(strong) | set(innocent)
+    assert all(abs(model.words[t] - w) < 1e-9 for t, w in (strong | innocent).items())
+
+    clean = sum(n.values()) - sum(toxic.values())
+    rates = [((n[t] - toxic[t]) + 0.1) / clean for t in strong] + [0.1 / clean] * len(heads)
+    values = [*strong.values(), *heads.values()]
+    reach = lambda lam: sum(r * math.exp(lam * v) for r, v in zip(rates, values, strict=True)) + (1 - sum(rates)) * math.exp(-0.25 * lam)
+    assert abs(reach(model.lam) - 1) < 1e-6
+
+    weight = lambda t: max(0.0, model.words.get(t, heads.get(t[:4], 0.0) if len(t) > 4 else 0.0))
+    scan = toxicity.Scanner(model)
+    found = lambda ts: toxicity.segments([(i, weight(t)) for i, t in enumerate(ts) if weight(t) > 0])
+    many = sum(s.score >= 1 for _, ts, y in train if not y for s in found(ts))
+    assert model.k == pytest.approx((many + 0.5) * math.exp(model.lam) / sum(len(ts) for _, ts, y in train if not y))
+
+    def evidence(ts, pieces):
+        each = [model.lam * s - math.log(model.k * max(len(ts), 1)) for s in pieces]
+        return math.log1p(max([0.0, *each])), math.log1p(sum(e for e in each if e >= -math.log(0.05)))
+
+    for _, t in list(rows.items())[:40]:
+        ts = toxicity.tokens(" ".join((t or "").split()[:40]))
+        scores = [weight(x) or -0.25 for x in ts]
+        want = evidence(ts, [sum(scores[a:b]) for a, b in brute_segments(scores)])
+        assert np.allclose(scan.evidence(" ".join(ts)), want, atol=1e-6)
+    got = {r.doc_id: r.score for r in queries.op5_toxicity(spark, at).collect()}
+    for i, t in rows.items():
+        z = model.weights @ np.array([1.0, *evidence(toxicity.tokens(t or ""), [s.score for s in found(toxicity.tokens(t or ""))])])
+        assert got[i] == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-9)
+    x = np.array([[1.0, *evidence(ts, [s.score for s in found(ts)])] for _, ts, _ in train])
+    p = 1 / (1 + np.exp(-(x @ model.weights)))
+    assert np.abs(x.T @ (p - np.array([y for *_, y in train])) + model.weights * np.array([1e-6, 0.1, 0.1])).max() < 1e-4
+
+
+def test_labelled_samples_are_bounded_by_bytes(spark):
+    df = spark.range(200).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), F.when(F.col("id") == 3, 900).otherwise(100)).alias("text"))
+    lab = spark.range(200).select(F.col("id").alias("doc_id"), F.lit(1).alias("toxic"))
+    got = common.labelled(df, lab, "toxic", 5, 0, 50, 2_000).collect()
+    assert len(got) == 20 and all(len(r.text) == 100 for r in got)
+    assert common.labelled(df, lab, "toxic", 5, 0, 50, 1 << 20).count() == 50
+
+
 @pytest.mark.parametrize("labels", [[], [(1, 1, 0)], [(1, 0, 1), (3, 0, 1)], [(1, None, None)]])
 def test_few_labels_and_empty_tables(spark, docs, labels):
     df = docs([(1, "some words"), (2, None), (3, "more words " * 3000), (None, "x")])
@@ -175,10 +298,19 @@ def test_pipeline_against_brute_force(spark, folder, tmp_path):
                 root[y] = x
     stay = sorted(i for i in sets if find(i) == i)
     assert kept[3] == stay
-    plan = corpus_pipeline.run(spark, at).collect()
-    assert sorted({r.doc_id for r in plan}) == stay
-    total = {}
-    for r in plan:
-        total[r.doc_id] = total.get(r.doc_id, 0) + r.length
-    assert total == {i: len((rows[i] or "").split()) for i in stay}
-    assert all(r.bin_size in packing.SIZES for r in plan if r.length)
+    bins = corpus_pipeline.run(spark, at).collect()
+    check_bins(bins, {i: LIBRARY.encode_ordinary(rows[i] or "") for i in stay})
+
+
+def check_bins(bins, tokens):
+    """Each token of each document is in one place, and each bin is of the least size that holds it."""
+    found = {}
+    for r in bins:
+        assert r.n_tokens == sum(r.lengths) == len(r.tokens) and r.bin_size == min(s for s in packing.SIZES if s >= r.n_tokens)
+        at = 0
+        for i, piece, start, n in zip(r.doc_ids, r.pieces, r.starts, r.lengths, strict=True):
+            assert start == piece * max(packing.SIZES)
+            found.setdefault(i, {})[start] = r.tokens[at : at + n]
+            at += n
+    got = {i: [x for _, part in sorted(parts.items()) for x in part] for i, parts in found.items()}
+    assert got == {i: t for i, t in tokens.items() if t}
