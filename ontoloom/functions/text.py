@@ -13,6 +13,11 @@ _EDGE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 _SPACE = r"(?U)[\s\x1c-\x1f]+"
 
 
+def utf8(content: Column) -> Column:
+    """Bytes as text, those that aren't UTF-8 replaced; a byte order mark at the start is none of the text."""
+    return F.regexp_replace(F.make_valid_utf8(content.cast("string")), "^\ufeff", "")
+
+
 def ws_strip(x: Column) -> Column:
     return F.regexp_replace(x, _EDGE, "")
 
@@ -97,9 +102,15 @@ def url_host(x: Column) -> Column:
 
 
 def last_segment(x: Column) -> Column:
+    """The last part of a URL's path, which also labels a repository."""
     return F.element_at(F.split(F.regexp_replace(x, "/+$", ""), "/"), -1)
 
 
+def deep_link(base: str, x: Column) -> Column:
+    """The page of one id under a service's base URL."""
+    return F.concat(F.lit(base.rstrip("/") + "/"), x)
+
+
 def search_blob(*parts: Column) -> Column:
     return F.lower(F.concat_ws(" ", *parts))
 

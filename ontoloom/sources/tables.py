@@ -95,7 +95,7 @@ def resources(spark: SparkSession, path: str) -> DataFrame:
 def whole_text(spark: SparkSession, path: str) -> DataFrame:
     """(path, text): files as text, bytes that aren't UTF-8 replaced."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", F.decode("content", "UTF-8").alias("text"))
+    return files.select("path", X.utf8(F.col("content")).alias("text"))
 
 
 def totals(spark: SparkSession, path: str) -> DataFrame:
