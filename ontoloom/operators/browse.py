@@ -114,6 +114,16 @@ def ontology_items(index: DataFrame, date: str = "", label: str = "Ontology", tr
     )
 
 
+def card(items_: DataFrame) -> DataFrame:
+    """What a browse card shows of an item's lists: three formats, three domains."""
+    return items_.withColumns({"fmts": F.slice("fmts", 1, 3), "domains": F.slice("domains", 1, 3)})
+
+
+def details(fmts: Column, taxa: Column) -> Column:
+    """What a page shows of a resource's lists: four formats, four taxa."""
+    return F.struct(F.slice(fmts, 1, 4).alias("fmts"), F.slice(taxa, 1, 4).alias("taxa"))
+
+
 def items(*parts: DataFrame) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:

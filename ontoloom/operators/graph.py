@@ -112,10 +112,11 @@ def reachable(edges: DataFrame, start: DataFrame, depth: int) -> DataFrame:
     """(start, id, hops): what can be reached along edges in at most ``depth`` hops, by the shortest way.
 
     The bound also ends walks in cycles. Each hop joins the frontier with the
-    edges; ids that were reached before don't go on. A hop is written before the
-    next one, so that neither the plan nor what a lost executor costs grows.
+    edges; ids that were reached before don't go on. The edges are written once
+    and each hop before the next one, so that neither the plan nor what a lost
+    executor costs grows, and a hub's edges are split where a hop is skewed.
     """
-    e = edges.select(F.col("subject").alias("_s"), F.col("object").alias("_o")).distinct()
+    e = materialize(edges.select(F.col("subject").alias("_s"), F.col("object").alias("_o")).distinct(), "edges")
     seen = front = materialize(start.select(F.col("id").alias("start"), F.col("id"), F.lit(0).alias("hops")).distinct(), "start")
     for hop in range(1, depth + 1):
         step = front.join(e, F.col("id") == F.col("_s")).select("start", F.col("_o").alias("id")).distinct()
@@ -154,11 +155,21 @@ def mixed(values: Column) -> Column:
     return F.size(kinds) > 1
 
 
+def mixed_count(df: DataFrame, *cols: str) -> DataFrame:
+    """One row: in how many cells of each column the values had no order in common."""
+    return df.agg(*[F.count_if(mixed(F.col(c))).alias(c) for c in cols])
+
+
 def sort_property(values: Column, reverse: bool = False) -> Column:
-    """The distinct lexical forms: as numbers if all are, else by their text; nothing is coerced."""
-    numbers = F.transform(F.array_sort(F.transform(values, lambda v: F.struct(v["lex"].cast("double").alias("k"), v["lex"].alias("lex")))), lambda v: v["lex"])
+    """The distinct lexical forms: as numbers, dates or points in time if all are, else by their text; nothing is coerced."""
+    # the double orders all magnitudes; where two doubles tie, exact decimals decide
+    number = lambda v: F.struct(v["lex"].try_cast("double").alias("k"), v["lex"].try_cast("decimal(38,6)").alias("d"), v["lex"].alias("lex"))
+    numbers = F.transform(F.array_sort(F.transform(values, number)), lambda v: v["lex"])
     texts = F.array_sort(F.transform(values, lambda v: v["lex"]))
-    out = F.array_distinct(F.when(_all(values, NUMERIC), numbers).otherwise(texts))
+    moment = lambda v: F.struct(v["lex"].try_cast("timestamp").alias("k"), v["lex"].alias("lex"))
+    moments = F.transform(F.array_sort(F.transform(values, moment)), lambda v: v["lex"])
+    dated = _all(values, DATES) | _all(values, TIMES)
+    out = F.array_distinct(F.when(_all(values, NUMERIC), numbers).when(dated, moments).otherwise(texts))
     return F.reverse(out) if reverse else out
 
 
@@ -170,13 +181,22 @@ RDFS = "http://www.w3.org/2000/01/rdf-schema#"
 OWL = "http://www.w3.org/2002/07/owl#"
 OBO_DEFINITION = "http://purl.obolibrary.org/obo/IAO_0000115"
 SYNONYM = "http://www.geneontology.org/formats/oboInOwl#hasExactSynonym"
+DBXREF = "http://www.geneontology.org/formats/oboInOwl#hasDbXref"
+
+
+# Triples are tables (s, p, o), with a column g where they are of several graphs: then nothing crosses from one to another.
+
+
+def _g(triples: DataFrame) -> list[str]:
+    return ["g"] if "g" in triples.columns else []
 
 
 def _restrictions(t: DataFrame) -> DataFrame:
-    """(r, p, c): the existential restrictions among triples (s, p, o)."""
-    on = t.where(F.col("p") == OWL + "onProperty").select(F.col("s").alias("r"), F.col("o").alias("rp"))
-    some = t.where(F.col("p") == OWL + "someValuesFrom").select(F.col("s").alias("r"), F.col("o").alias("c"))
-    return on.join(some, "r")
+    """(r, rp, c): the existential restrictions among triples."""
+    g = _g(t)
+    on = t.where(F.col("p") == OWL + "onProperty").select(*g, F.col("s").alias("r"), F.col("o").alias("rp"))
+    some = t.where(F.col("p") == OWL + "someValuesFrom").select(*g, F.col("s").alias("r"), F.col("o").alias("c"))
+    return on.join(some, [*g, "r"])
 
 
 def _list_members(t: DataFrame, heads: DataFrame) -> DataFrame:
@@ -186,51 +206,95 @@ def _list_members(t: DataFrame, heads: DataFrame) -> DataFrame:
     log2(n) steps, and is written before the next one. A list that leads back
     into itself ends once no pair of head and cell is new.
     """
-    first = t.where(F.col("p") == RDF + "first").select(F.col("s").alias("cell"), F.col("o").alias("member"))
-    rest = t.where((F.col("p") == RDF + "rest") & (F.col("o") != RDF + "nil")).select(F.col("s").alias("cell"), F.col("o").alias("next"))
+    g = _g(t)
+    first = t.where(F.col("p") == RDF + "first").select(*g, F.col("s").alias("cell"), F.col("o").alias("member"))
+    rest = t.where((F.col("p") == RDF + "rest") & (F.col("o") != RDF + "nil")).select(*g, F.col("s").alias("cell"), F.col("o").alias("next"))
     link = materialize(rest.distinct(), "link")
-    at = materialize(heads.select("head", F.col("head").alias("cell")).distinct(), "cell")
+    at = materialize(heads.select(*g, "head", F.col("head").alias("cell")).distinct(), "cell")
     while not link.isEmpty():
-        step = at.join(link, "cell").select("head", F.col("next").alias("cell")).distinct()
-        new = materialize(step.join(at, ["head", "cell"], "left_anti"), "cell")
+        step = at.join(link, [*g, "cell"]).select(*g, "head", F.col("next").alias("cell")).distinct()
+        new = materialize(step.join(at, [*g, "head", "cell"], "left_anti"), "cell")
         if new.isEmpty():
             break
         at = at.unionByName(new)
-        onward = link.select(F.col("cell").alias("next"), F.col("next").alias("far"))
-        link = materialize(link.join(onward, "next").select("cell", F.col("far").alias("next")).distinct(), "link")
-    return at.join(first, "cell").select("head", "member")
+        onward = link.select(*g, F.col("cell").alias("next"), F.col("next").alias("far"))
+        link = materialize(link.join(onward, [*g, "next"]).select(*g, "cell", F.col("far").alias("next")).distinct(), "link")
+    return at.join(first, [*g, "cell"]).select(*g, "head", "member")
 
 
 def relax(triples: DataFrame) -> DataFrame:
-    """Triples (s, p, o) and what equivalences to intersections imply: A = B and r some C gives A < B and A < r some C."""
-    eq = triples.where(F.col("p") == OWL + "equivalentClass").select("s", F.col("o").alias("x"))
-    inter = triples.where(F.col("p") == OWL + "intersectionOf").select(F.col("s").alias("x"), F.col("o").alias("head"))
-    lists = eq.join(inter, "x").select("s", "head")
-    parts = lists.join(_list_members(triples, lists.select("head")), "head").select("s", F.lit(RDFS + "subClassOf").alias("p"), F.col("member").alias("o"))
-    named = eq.where(~F.col("x").startswith("_:")).select("s", F.lit(RDFS + "subClassOf").alias("p"), F.col("x").alias("o"))
-    return triples.select("s", "p", "o").unionByName(parts).unionByName(named).distinct()
-
-
-def triple_nodes(triples: DataFrame) -> DataFrame:
-    """A node for each named class: (id, category, name, description, synonym)."""
-    is_class = triples.where((F.col("p") == RDF + "type") & (F.col("o") == OWL + "Class") & ~F.col("s").startswith("_:")).select("s").distinct()
-    props = triples.where(F.col("p").isin(RDFS + "label", OBO_DEFINITION, SYNONYM)).groupBy("s").agg(
+    """Triples and what equivalences to intersections imply: A = B and r some C gives A < B and A < r some C."""
+    g = _g(triples)
+    eq = triples.where(F.col("p") == OWL + "equivalentClass").select(*g, "s", F.col("o").alias("x"))
+    inter = triples.where(F.col("p") == OWL + "intersectionOf").select(*g, F.col("s").alias("x"), F.col("o").alias("head"))
+    lists = eq.join(inter, [*g, "x"]).select(*g, "s", "head")
+    parts = lists.join(_list_members(triples, lists.select(*g, "head")), [*g, "head"]).select(*g, "s", F.lit(RDFS + "subClassOf").alias("p"), F.col("member").alias("o"))
+    named = eq.where(~F.col("x").startswith("_:")).select(*g, "s", F.lit(RDFS + "subClassOf").alias("p"), F.col("x").alias("o"))
+    return triples.select(*g, "s", "p", "o").unionByName(parts).unionByName(named).distinct()
+
+
+#: What a declared resource is as a node.
+KINDS = {
+    OWL + "Class": "biolink:OntologyClass", OWL + "ObjectProperty": "biolink:RelationshipType", OWL + "DatatypeProperty": "biolink:RelationshipType",
+    OWL + "AnnotationProperty": "biolink:RelationshipType", OWL + "NamedIndividual": "biolink:NamedThing",
+}
+CLASSES = {OWL + "Class": "biolink:OntologyClass"}
+
+
+def triple_nodes(triples: DataFrame, kinds: dict[str, str] = CLASSES) -> DataFrame:
+    """A node for each named resource of some declared kinds: (id, category, name, description, synonym); of several kinds the least category."""
+    g = _g(triples)
+    category = F.create_map(*[F.lit(x) for kv in kinds.items() for x in kv])
+    typed = triples.where((F.col("p") == RDF + "type") & F.col("o").isin(*kinds) & ~F.col("s").startswith("_:"))
+    typed = typed.groupBy(*g, "s").agg(F.min(F.element_at(category, F.col("o"))).alias("category"))
+    props = triples.where(F.col("p").isin(RDFS + "label", OBO_DEFINITION, SYNONYM)).groupBy(*g, "s").agg(
         F.min(F.when(F.col("p") == RDFS + "label", F.col("o"))).alias("name"), F.min(F.when(F.col("p") == OBO_DEFINITION, F.col("o"))).alias("description"),
         F.array_sort(F.collect_set(F.when(F.col("p") == SYNONYM, F.col("o")))).alias("synonym"),
     )
-    return is_class.join(props, "s", "left").select(F.col("s").alias("id"), F.lit("biolink:OntologyClass").alias("category"), "name", "description", F.coalesce("synonym", F.array().cast("array<string>")).alias("synonym"))
+    return typed.join(props, [*g, "s"], "left").select(*g, F.col("s").alias("id"), "category", "name", "description", F.coalesce("synonym", F.array().cast("array<string>")).alias("synonym"))
+
+
+#: Edges between named resources, by the predicate of their triple.
+AXIOMS = {
+    RDFS + "subPropertyOf": "rdfs:subPropertyOf", RDFS + "domain": "rdfs:domain", RDFS + "range": "rdfs:range",
+    OWL + "inverseOf": "owl:inverseOf", OWL + "equivalentClass": "biolink:same_as", OWL + "sameAs": "biolink:same_as",
+    OWL + "disjointWith": "owl:disjointWith", DBXREF: "biolink:xref",
+}
 
 
-def triple_edges(triples: DataFrame) -> DataFrame:
-    """subClassOf edges between named classes, and one edge for each existential restriction above a class."""
-    sub = triples.where((F.col("p") == RDFS + "subClassOf") & ~F.col("s").startswith("_:")).select("s", "o")
-    plain = sub.where(~F.col("o").startswith("_:")).select(F.col("s").alias("subject"), F.lit("biolink:subclass_of").alias("predicate"), F.col("o").alias("object"), F.lit(RDFS + "subClassOf").alias("relation"))
-    some = sub.join(_restrictions(triples), F.col("o") == F.col("r")).where(~F.col("c").startswith("_:"))
-    held = some.select(F.col("s").alias("subject"), F.lit("biolink:related_to").alias("predicate"), F.col("c").alias("object"), F.col("rp").alias("relation"))
-    return plain.unionByName(held).distinct()
+def triple_edges(triples: DataFrame, axioms: dict[str, str] | None = None, individuals: bool = False) -> DataFrame:
+    """subClassOf edges between named classes, and one edge for each existential restriction above a class.
+
+    ``axioms`` (predicate of the triple, predicate of the edge) adds others, such as AXIOMS; ``individuals`` adds those
+    from named individuals: to their classes, and along object properties to each other.
+    """
+    g = _g(triples)
+    sub = triples.where((F.col("p") == RDFS + "subClassOf") & ~F.col("s").startswith("_:")).select(*g, "s", "o")
+    edge = lambda df, predicate, o, relation: df.select(*g, F.col("s").alias("subject"), predicate.alias("predicate"), F.col(o).alias("object"), relation.alias("relation"))
+    out = edge(sub.where(~F.col("o").startswith("_:")), F.lit("biolink:subclass_of"), "o", F.lit(RDFS + "subClassOf"))
+    some = sub.join(_restrictions(triples).withColumnRenamed("r", "o"), [*g, "o"]).where(~F.col("c").startswith("_:"))
+    out = out.unionByName(edge(some, F.lit("biolink:related_to"), "c", F.col("rp")))
+    named = triples.where(~F.col("s").startswith("_:") & ~F.col("o").startswith("_:"))
+    if axioms:
+        shown = F.element_at(F.create_map(*[F.lit(x) for kv in axioms.items() for x in kv]), F.col("p"))
+        out = out.unionByName(edge(named.where(F.col("p").isin(*axioms)), shown, "o", F.col("p")))
+    if individuals:
+        typed = triples.where(F.col("p") == RDF + "type")
+        own = typed.where(F.col("o") == OWL + "NamedIndividual").select(*g, "s").distinct()
+        classes = named.where((F.col("p") == RDF + "type") & ~F.col("o").startswith(OWL)).join(own, [*g, "s"], "left_semi")
+        links = typed.where(F.col("o") == OWL + "ObjectProperty").select(*g, F.col("s").alias("p")).distinct()
+        out = out.unionByName(edge(classes, F.lit("rdf:type"), "o", F.col("p")))
+        out = out.unionByName(edge(named.join(links, [*g, "p"], "left_semi").join(own, [*g, "s"], "left_semi"), F.lit("biolink:related_to"), "o", F.col("p")))
+    return out.distinct()
+
+
+def merge_ontologies(*graphs: DataFrame) -> DataFrame:
+    """One set of triples of several; blank nodes are apart by the prefixes of their readers."""
+    return reduce(lambda a, b: a.unionByName(b), [g.select("s", "p", "o") for g in graphs]).distinct()
 
 
 def remove_term(triples: DataFrame, term: str) -> DataFrame:
+    """Without the triples that name a term anywhere."""
     return triples.where((F.col("s") != term) & (F.col("p") != term) & (F.col("o") != term))
 
 
