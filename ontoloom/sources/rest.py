@@ -1,13 +1,15 @@
 """A REST catalogue as a data source: ``spark.read.format("rest_catalogue")``.
 
 Options: url (of the service), acronyms (comma separated; all if it is empty),
-key, limit_bytes, parallel. Each partition asks for a share of the acronyms,
+key, limit_bytes, parallel, and what: "files" (metadata and file of each
+acronym, the default) or "catalogue" (id, name, version and submission only). Each partition asks for a share of the acronyms,
 with retries, and every failure is a row with its reason. ``fetch`` can be
 replaced, so that tests need no network.
 """
 
 from __future__ import annotations
 
+import http.client
 import json
 import time
 import urllib.error
@@ -22,7 +24,12 @@ SCHEMA = (
     "id string, name string, version string, submission_id string, source_bytes bigint, status string, reason string,"
     " http_status int, filename string, content binary"
 )
+CATALOGUE_SCHEMA = "id string, name string, current_version string, submission_id string"
 TRIES, RETRY_CODES, CHUNK = 5, (429, 504), 1 << 20
+#: Seconds that a server may stay silent.
+TIMEOUT = 120
+#: What a request can raise: no connection, silence, a body cut short.
+BROKEN = (OSError, http.client.HTTPException)
 
 #: (url, key, limit) -> (code, headers, body); the body stops behind the limit.
 Fetch = Callable[[str, str, int], tuple[int, dict, bytes]]
@@ -32,7 +39,7 @@ def http_fetch(url: str, key: str, limit: int) -> tuple[int, dict, bytes]:
     for k in range(TRIES):
         request = urllib.request.Request(url, headers={"Authorization": f"apikey token={key}"} if key else {})
         try:
-            with urllib.request.urlopen(request) as r:
+            with urllib.request.urlopen(request, timeout=TIMEOUT) as r:
                 length = int(r.headers.get("Content-Length") or 0)
                 if limit and length > limit:
                     return r.status, dict(r.headers), b""
@@ -70,11 +77,11 @@ def acquire(url: str, acronym: str, key: str, limit: int, fetch: Fetch) -> tuple
         if "submissionId" not in latest:
             return row(V.ERROR, "no_submission")
         submission, version = str(latest["submissionId"]), str(latest.get("version") or "NA")
-    except (OSError, ValueError, AttributeError):
+    except (*BROKEN, ValueError, AttributeError):
         return row(V.ERROR, "metadata_http_error")
     try:
         code, headers, body = fetch(f"{url}/ontologies/{acronym}/download", key, limit)
-    except OSError:
+    except BROKEN:
         return row(V.ERROR, "download_error")
     if code in V.LICENSE_CODES:
         return row(V.ERROR, V.LICENSED, code=code)
@@ -92,6 +99,25 @@ def acquire(url: str, acronym: str, key: str, limit: int, fetch: Fetch) -> tuple
     return row(V.DOWNLOADED, "", n=len(body), filename=parts[1].replace('"', ""), content=body)
 
 
+def _line(x: str) -> str:
+    return x.replace("\n", " ").replace("\t", " ")
+
+
+def listed(url: str, acronym: str, key: str, fetch: Fetch) -> tuple:
+    """The catalogue's row of one acronym: name, the version's first three words, the submission; NA for what there isn't."""
+    nothing = acronym, acronym, "NA", "NA"
+    try:
+        code, _, body = fetch(f"{url}/ontologies/{acronym}/latest_submission", key, 0)
+        latest = json.loads(body or b"{}") if code == 200 else {}
+        if not latest:
+            return nothing
+        name = _line(str((latest.get("ontology") or {}).get("name") or acronym))
+        version = " ".join(_line(str(latest.get("version") or "")).split()[:3])
+        return acronym, name, version or "NA", str(latest.get("submissionId") or "NA")
+    except (*BROKEN, ValueError, AttributeError):
+        return nothing
+
+
 class _Share(InputPartition):
     def __init__(self, acronyms: list[str]):
         self.acronyms = acronyms
@@ -101,6 +127,7 @@ class RestReader(DataSourceReader):
     def __init__(self, options: dict, fetch: Fetch):
         self.url, self.key, self.fetch = options.get("url", "").rstrip("/"), options.get("key", ""), fetch
         self.limit, self.parallel = int(options.get("limit_bytes", 0)), int(options.get("parallel", 20))
+        self.what = options.get("what", "files")
         self.wanted = [a.strip() for a in options.get("acronyms", "").split(",") if a.strip()]
 
     def partitions(self) -> list[_Share]:
@@ -113,7 +140,7 @@ class RestReader(DataSourceReader):
 
     def read(self, partition: _Share) -> Iterator[tuple]:
         for a in partition.acronyms:
-            yield acquire(self.url, a, self.key, self.limit, self.fetch)
+            yield listed(self.url, a, self.key, self.fetch) if self.what == "catalogue" else acquire(self.url, a, self.key, self.limit, self.fetch)
 
 
 class RestCatalogue(DataSource):
@@ -124,7 +151,7 @@ class RestCatalogue(DataSource):
         return "rest_catalogue"
 
     def schema(self) -> str:
-        return SCHEMA
+        return CATALOGUE_SCHEMA if self.options.get("what") == "catalogue" else SCHEMA
 
     def reader(self, schema) -> RestReader:
         return RestReader(self.options, type(self).fetch)

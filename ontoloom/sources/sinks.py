@@ -5,30 +5,76 @@ from __future__ import annotations
 import io
 import json
 import tarfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ontoloom.durable import discard, materialize
 from ontoloom.operators.graph import join_values
 
 REPORT_COLUMNS = ("id", "name", "version", "submission_id", "source_bytes", "status", "reason", "http_status", "path")
 
 
-def _put(df: DataFrame, path: str, data: bytes) -> None:
-    """One file through Hadoop's file systems, so any store that Spark can write."""
+@contextmanager
+def _file(df: DataFrame, path: str) -> Iterator:
+    """One file through Hadoop's file systems, so any store that Spark can write; what is written goes out at once."""
     sc = df.sparkSession.sparkContext
     at = sc._jvm.org.apache.hadoop.fs.Path(path)
     out = at.getFileSystem(sc._jsc.hadoopConfiguration()).create(at, True)
+
+    class Out:
+        def write(self, data: bytes) -> int:
+            out.write(bytearray(data))
+            return len(data)
+
+    buffer = io.BufferedWriter(_Raw(Out()), 1 << 20)
     try:
-        out.write(bytearray(data))
+        yield buffer
+        buffer.flush()
     finally:
         out.close()
 
 
+class _Raw(io.RawIOBase):
+    def __init__(self, out):
+        self.out = out
+
+    def writable(self) -> bool:
+        return True
+
+    def write(self, data) -> int:
+        return self.out.write(bytes(data))
+
+
+class _Lines(io.RawIOBase):
+    """Lines as a file to read, one after the other."""
+
+    def __init__(self, lines: Iterator[bytes]):
+        self.lines, self.rest = lines, b""
+
+    def read(self, n: int = -1) -> bytes:
+        while len(self.rest) < n and (line := next(self.lines, None)) is not None:
+            self.rest += line
+        out, self.rest = self.rest[:n], self.rest[n:]
+        return out
+
+
+def _put(df: DataFrame, path: str, data: bytes) -> None:
+    with _file(df, path) as out:
+        out.write(data)
+
+
 def tsv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("sep", "\t").option("header", True).option("quote", "").option("emptyValue", "").option("nullValue", "").csv(path)
 
 
+def catalogue(df: DataFrame, path: str) -> None:
+    """The catalogue: id, name, version, submission."""
+    tsv(df.select("id", "name", "current_version", "submission_id"), path)
+
+
 def download_report(df: DataFrame, path: str) -> None:
     """Fixed column order; what is missing is empty."""
     tsv(df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) if c in df.columns else F.lit("").alias(c) for c in REPORT_COLUMNS]), path)
@@ -45,21 +91,29 @@ def flat(df: DataFrame) -> DataFrame:
     return df.select(*[join_values(F.col(c)).alias(c) if t.startswith("array") else F.col(c) for c, t in df.dtypes])
 
 
-def _lines(df: DataFrame) -> bytes:
-    rows = ["\t".join(df.columns)] + ["\t".join("" if v is None else str(v) for v in r) for r in flat(df).toLocalIterator()]
-    return ("\n".join(rows) + "\n").encode()
+def _lines(df: DataFrame) -> DataFrame:
+    """The rows as TSV lines."""
+    df = flat(df)
+    return df.select(F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]).alias("line"))
+
+
+def _encoded(lines: DataFrame, columns: list[str]) -> Iterator[bytes]:
+    """A header and the lines, those of one partition at a time on the driver."""
+    yield ("\t".join(columns) + "\n").encode()
+    for r in lines.toLocalIterator():
+        yield (r.line + "\n").encode()
 
 
 def bundle(nodes: DataFrame, edges: DataFrame, path: str, name: str) -> None:
-    """One graph's two TSVs in a tar.gz, for exchange; a graph is as large as its source, which is gated."""
-    buffer = io.BytesIO()
-    with tarfile.open(fileobj=buffer, mode="w:gz") as t:
+    """One graph's two TSVs in a tar.gz, for exchange. Neither a table nor the bundle is ever whole in memory."""
+    with _file(nodes, path) as out, tarfile.open(fileobj=out, mode="w|gz") as t:
         for kind, df in (("nodes", nodes), ("edges", edges)):
-            data = _lines(df)
+            lines = materialize(_lines(df), "lines")
             info = tarfile.TarInfo(f"{name}_{kind}.tsv")
-            info.size = len(data)
-            t.addfile(info, io.BytesIO(data))
-    _put(nodes, path, buffer.getvalue())
+            size = lines.agg(F.sum(F.octet_length("line") + 1)).first()[0] or 0
+            info.size = size + len("\t".join(df.columns).encode()) + 1
+            t.addfile(info, _Lines(_encoded(lines, df.columns)))
+            discard(lines)
 
 
 def index_yaml(index: DataFrame, path: str, key: str = "ontologies") -> None:
@@ -79,7 +133,9 @@ def totals_yaml(totals: DataFrame, path: str, date: str | None = None) -> None:
 
 def manifest(urls: DataFrame, path: str) -> None:
     """A header and one line for each artifact; written even if there is none."""
-    _put(urls, path, _lines(urls.select("id", "download_url").orderBy("id")))
+    urls = urls.select("id", "download_url")
+    with _file(urls, path) as out:
+        out.writelines(_encoded(_lines(urls.orderBy("id")), urls.columns))
 
 
 def shards_json(plan: DataFrame) -> str:
@@ -88,16 +144,21 @@ def shards_json(plan: DataFrame) -> str:
 
 
 def search_json(index: DataFrame, path: str) -> None:
-    _put(index, path, json.dumps([r.asDict() for r in index.toLocalIterator()], separators=(",", ":"), ensure_ascii=False).encode())
+    with _file(index, path) as out:
+        out.write(b"[")
+        for k, r in enumerate(index.toLocalIterator()):
+            out.write((b"," if k else b"") + json.dumps(r.asDict(), separators=(",", ":"), ensure_ascii=False).encode())
+        out.write(b"]")
 
 
 def raw_files(downloads: DataFrame, root: str) -> None:
-    """Downloaded files as Parquet rows (path, id, submission_id, content) under ``root``, a folder for each id.
+    """Downloaded files as Parquet rows (path, submission_id, length, content) under ``root``, a folder for each id.
 
-    The path <id>/<submission>/<filename> stays the key.
+    The path <id>/<submission>/<filename> stays the key; ``archives.stored_files`` reads them back as ``archives.raw_files`` reads a folder of files.
     """
     path = F.concat_ws("/", "id", "submission_id", F.coalesce("filename", F.col("id")))
-    downloads.where(F.col("content").isNotNull()).select(path.alias("path"), "id", "submission_id", "content").write.mode("overwrite").partitionBy("id").parquet(root)
+    rows = downloads.where(F.col("content").isNotNull()).select(path.alias("path"), "id", "submission_id", F.octet_length("content").cast("long").alias("length"), "content")
+    rows.write.mode("overwrite").partitionBy("id").parquet(root)
 
 
 def stats_yaml(facets: DataFrame, path: str, name: str) -> None:
