@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import gzip
-from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ontoloom.functions import formats as N
@@ -16,22 +14,9 @@ from ontoloom.operators import browse as B
 from ontoloom.operators import catalog as C
 from ontoloom.operators import graph as G
 from ontoloom.plans import inputs as I
+from ontoloom.plans.base import ORACLES, QUERIES, query
 from ontoloom.sources import archives, rdf, tables
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def put(f):
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return put
-
-
 _NODES = " UNION ALL ".join(f"SELECT '{t}:' || {k} AS id, '{c}' AS category, {n} AS name, '{t}' AS provided_by FROM {t}" for t, k, c, n in G.NODE_SPEC)
 _EDGES = " UNION ALL ".join(
     f"SELECT '{s[0]}:' || {s[1]} AS subject, '{p}' AS predicate, '{o[0]}:' || {o[1]} AS object, '{t}' AS provided_by, 'infores:{t}' AS primary_knowledge_source FROM {t}" for t, s, p, o in G.EDGE_SPEC
@@ -230,7 +215,7 @@ def index_totals(spark, sf_dir):
     return C.totals(C.index_overlay(I.base_index(spark, sf_dir), I.fragments(spark, sf_dir), "new"))
 
 
-@query("SELECT true AS balanced")
+@query(I.INDEX_SQL + "SELECT count(*) FILTER (status = 'OK') + count(*) FILTER (status = 'Skipped') + count(*) FILTER (status = 'Failed') = count(*) AS balanced FROM idx")
 def index_balanced(spark, sf_dir):
     return C.accounted(C.index_overlay(I.base_index(spark, sf_dir), I.fragments(spark, sf_dir), "new"))
 
@@ -668,3 +653,8 @@ def rdf_quality(spark, sf_dir):
     t = _triples(spark, sf_dir).where(F.col("p") != G.RDFS + "label")
     r = G.quality_report(t)
     return r.agg(F.count_if(F.col("rule") == "missing_label").alias("missing_label"), F.count_if(F.col("rule") == "no_parent").alias("no_parent"))
+
+
+from ontoloom.plans import flows  # noqa: E402  its queries join those of this module
+
+__all__ = ["ORACLES", "QUERIES", "flows", "query"]
