@@ -7,7 +7,8 @@ two, for the misses: the pre-token's bytes form a linked list, a heap holds the
 ranks of its neighbouring pairs, and the least rank, leftmost first, is merged
 until none is left. The pairs are looked up by the same hash. A pre-token of n
 bytes takes O(n log n), so one long run of letters does no harm. Results of
-both tiers are remembered, up to ``Encoder.KNOWN`` pre-tokens of ``SHORT`` letters.
+both tiers are remembered, up to ``Encoder.KNOWN`` pre-tokens of ``SHORT`` letters,
+so in running text most look-ups end there and each tier sees a pre-token once.
 
 Defined cases: a null text counts as empty and has no ids; special tokens are
 ordinary text; decoding is a plain concatenation and gives back the text's
@@ -19,7 +20,9 @@ from __future__ import annotations
 
 import base64
 import heapq
+import re
 import struct
+import unicodedata
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -31,6 +34,7 @@ from pyspark.sql import functions as F
 
 from .common import whole
 
+
 def load_ranks(path: str) -> list[bytes]:
     """The vocabulary of a rank file, in the order of ranks 0, 1, 2, ..."""
     with open(path, "rb") as f:
@@ -143,6 +147,52 @@ def table_of(vocabulary: list[bytes]) -> PerfectHash:
     return _tables[name]
 
 
+def latin_pattern(pattern: str) -> re.Pattern | None:
+    """A pattern that finds the same as ``pattern`` in texts of Latin-1 letters only, for the standard library, which is faster.
+
+    Classes of Unicode are written out as their members below U+0100. None if
+    the pattern has anything besides the classes of letters, numbers and white
+    space that could differ.
+    """
+    def of(kind):
+        return "".join(re.escape(chr(c)) for c in range(256) if unicodedata.category(chr(c))[0] == kind)
+
+    members = {r"\p{L}": of("L"), r"\p{N}": of("N"), r"\s": "\\t-\\r \\x85\\xa0"}
+    out, inside, i = [], False, 0
+    while i < len(pattern):
+        found = next((m for m in (*members, r"\S") if pattern.startswith(m, i)), None)
+        c = pattern[i]
+        if found == r"\S":
+            if inside:
+                return None
+            out.append("[^" + members[r"\s"] + "]")
+        elif found:
+            out.append(members[found] if inside else "[" + members[found] + "]")
+        elif c == "\\" or pattern.startswith("(?i", i) or inside and (c == "[" or pattern[i : i + 2] in ("&&", "--", "||", "~~")):
+            return None
+        else:
+            inside = c == "[" or inside and c != "]"
+            out.append(c)
+        i += len(found or c)
+    return re.compile("".join(out))
+
+
+class Known(dict):
+    """The ids of pre-tokens, as the bytes of 32-bit integers, that are found on their first look-up."""
+
+    def __init__(self, encoder: Encoder):
+        self.encoder = encoder
+
+    def __missing__(self, piece: str) -> bytes:
+        e = self.encoder
+        ids = e.piece(piece)
+        if len(piece) <= e.SHORT:
+            if len(self) >= e.KNOWN:
+                self.clear()
+            self[piece] = ids
+        return ids
+
+
 class Encoder:
     """Encodes texts one after the other and remembers, within bounds, what both tiers have found.
 
@@ -155,9 +205,11 @@ class Encoder:
 
     def __init__(self, vocabulary: list[bytes], pattern: str):
         self.find = regex.compile(pattern).findall
+        latin = latin_pattern(pattern)
+        self.find_latin = latin.findall if latin else self.find
         self.table = table_of(vocabulary)
         self.ranks = Ranks(self.table)
-        self.known: dict[str, bytes] = {}
+        self.known = Known(self)
 
     def piece(self, text: str) -> bytes:
         data = text.encode("utf-8", "surrogatepass")
@@ -165,19 +217,17 @@ class Encoder:
         ids = [rank] if rank >= 0 else merge(data, self.ranks)
         return struct.pack(f"={len(ids)}i", *ids)
 
+    def pieces(self, text: str) -> list[str]:
+        """The pre-tokens of a text."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self.find(text)
+        return self.find_latin(text)
+
     def packed(self, text: str) -> bytes:
         """The ids of a text as 32-bit integers."""
-        pieces = self.find(text)
-        found = list(map(self.known.get, pieces))
-        if None in found:
-            for i, p in enumerate(pieces):
-                if found[i] is None:
-                    ids = found[i] = self.known.get(p) or self.piece(p)
-                    if len(p) <= self.SHORT:
-                        if len(self.known) >= self.KNOWN:
-                            self.known.clear()
-                        self.known[p] = ids
-        return b"".join(found)
+        return b"".join(map(self.known.__getitem__, self.pieces(text)))
 
     def ids(self, text: str) -> list[int]:
         return np.frombuffer(self.packed(text), np.int32).tolist()

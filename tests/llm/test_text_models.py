@@ -43,6 +43,17 @@ def test_encoder_equals_the_library():
     assert all(e.ids(t) == LIBRARY.encode_ordinary(t) for t in texts[:60])
 
 
+def test_latin_pattern_finds_the_same():
+    e = bpe.Encoder(VOCAB, public_tokenizers.PATTERN)
+    every = "".join(map(chr, range(256)))
+    rng = random.Random(4)
+    for t in [every, every[::-1], *("".join(rng.choice(every) for _ in range(300)) for _ in range(200)), "don't \x1c \x85x  y\xa0 ½²a"]:
+        assert e.find_latin(t) == e.find(t) and e.ids(t) == LIBRARY.encode_ordinary(t)
+    assert e.find_latin != e.find
+    for odd in (r"\p{Lu}+", r"[\S]x", r"(?i:'s)", r"[a-z&&[x]]", r"\w+"):
+        assert bpe.latin_pattern(odd) is None
+
+
 def test_encoding_by_library_is_the_same(spark, docs):
     more = [" " * 300_000, "\n" * 200_000 + "x", "a b" * 100_000]
     df = docs(list(enumerate(TEXTS + more)))
