@@ -33,23 +33,25 @@ def size_one(n: int | None) -> str:
 
 
 def abbrev(n: Column) -> Column:
-    """12345 -> 12K, 1250000 -> 1.2M; null -> dash."""
+    """12345 -> 12K, 1250000 -> 1.2M; null -> dash. Only what has to be rounded leaves generated code."""
 
     @F.arrow_udf("string")
     def of(x: pa.Array) -> pa.Array:
-        return pa.array([abbrev_one(v) for v in x.to_pylist()], pa.string())
+        return pa.array([None if v is None else abbrev_one(v) for v in x.to_pylist()], pa.string())
 
-    return of(n.cast("long"))
+    n = n.cast("long")
+    return F.when(n.isNull(), DASH).when(n < 1000, n.cast("string")).otherwise(of(F.when(n >= 1000, n)))
 
 
 def human_size(n: Column) -> Column:
-    """Bytes in units of 1024; null and 0 -> dash."""
+    """Bytes in units of 1024; null and 0 -> dash. Only what has to be rounded leaves generated code."""
 
     @F.arrow_udf("string")
     def of(x: pa.Array) -> pa.Array:
-        return pa.array([size_one(v) for v in x.to_pylist()], pa.string())
+        return pa.array([None if v is None else size_one(v) for v in x.to_pylist()], pa.string())
 
-    return of(n.cast("long"))
+    n = n.cast("long")
+    return F.when(F.coalesce(n, F.lit(0)) == 0, DASH).when(n.between(1, 1023), F.concat(n.cast("string"), F.lit(" B"))).otherwise(of(F.when(~n.between(0, 1023), n)))
 
 
 def commafy(n: Column) -> Column:
@@ -61,6 +63,16 @@ def bar_percent(v: Column, top: Column) -> Column:
     return F.greatest(v / F.when(top == 0, F.lit(1)).otherwise(top) * 100, F.lit(0.8))
 
 
+def two_decimals(x: Column) -> Column:
+    """A number with two decimals, as text, of the exact binary value."""
+
+    @F.arrow_udf("string")
+    def of(v: pa.Array) -> pa.Array:
+        return pa.array([None if y is None else f"{y:.2f}" for y in v.to_pylist()], pa.string())
+
+    return of(x.cast("double"))
+
+
 def segment_percent(n: Column, whole: Column) -> Column:
     """A segment's share in percent; null where it is empty and so left out."""
     return F.when(n > 0, n / F.greatest(whole, F.lit(1)) * 100)

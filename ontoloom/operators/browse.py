@@ -167,11 +167,13 @@ def browse_filter(items_: DataFrame, query: str = "", domain: str = "", source:
 
 
 def suggest(items_: DataFrame, query: str, k: int = 10, order: str = "pos") -> DataFrame:
-    """Names or acronyms that start with the query, then those that hold it, in their order."""
-    q = query.lower()
+    """Names or acronyms that start with the query, then those that hold it, in their order; nothing for a blank query."""
+    q = query.strip().lower()
+    if not q:
+        return items_.limit(0)
     a, n = F.lower("acr"), F.lower("name")
     prefix = F.startswith(a, F.lit(q)) | F.startswith(n, F.lit(q))
-    hit = items_.where(prefix | F.contains(a, F.lit(q)) | F.contains(n, F.lit(q)))
+    hit = items_.where(prefix | F.contains(F.concat_ws(" ", a, n), F.lit(q)))
     return hit.orderBy(F.when(prefix, 0).otherwise(1), order).limit(k)
 
 

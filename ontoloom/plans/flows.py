@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gzip
 import io
+import json
 import tarfile
 import uuid
 import zipfile
@@ -12,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ontoloom import durable
+from ontoloom.functions import formats as N
 from ontoloom.functions import text as X
 from ontoloom.operators import browse as B
 from ontoloom.operators import catalog as C
@@ -500,3 +502,126 @@ def browse_places(spark, sf_dir):
 
     ordered = durable.materialize(B.browse_order(_doc_items(spark, sf_dir)).select("id").withColumn("pos", F.monotonically_increasing_id()), "order")
     return C.global_rank(ordered, "pos").select("id", (F.col("rank") + 1).alias("place"))
+
+
+@query("SELECT 'd' || doc_id AS id, n_chars * 2 AS edges FROM documents WHERE n_chars % 4 <> 0 ORDER BY n_chars DESC, doc_id LIMIT 10")
+def top10_edges(spark, sf_dir):
+    from ontoloom.plans.registry import _doc_items
+
+    return B.top_by(_doc_items(spark, sf_dir), "edges").select("id", "edges")
+
+
+@query("""
+SELECT 'd' || doc_id AS id, printf('%.2f', greatest(n_chars / m * 100, 0.8)) AS width FROM documents, (SELECT CAST(max(n_chars) AS DOUBLE) AS m FROM documents)
+""")
+def bar_widths(spark, sf_dir):
+    d = I.table(spark, sf_dir, "documents")
+    top = d.agg(F.max("n_chars").cast("double").alias("m"))  # one row
+    return d.join(F.broadcast(top)).select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), N.two_decimals(N.bar_percent(F.col("n_chars"), F.col("m"))).alias("width"))
+
+
+# --- more of what writers wrote ---------------------------------------------------------------
+
+
+@query("SELECT 'P' || p_partkey AS id FROM part WHERE p_partkey % 3 > 0")
+def listed_acronyms(spark, sf_dir):
+    """The first column of a list, blank lines skipped."""
+    at = place(spark, "list")
+    id_ = F.when(F.col("p_partkey") % 3 > 0, F.concat(F.lit("P"), F.col("p_partkey").cast("string"))).otherwise(F.lit(" "))
+    sinks.tsv(I.table(spark, sf_dir, "part").select(id_.alias("id"), F.col("p_name").alias("name")), at)
+    return tables.acronyms(spark, at).select("id")
+
+
+@query("SELECT t AS id, CAST(i AS BIGINT) AS pos FROM (VALUES ('GO', 0), ('hp', 1), ('X-1', 2)) v(t, i)")
+def given_acronyms(spark, sf_dir):
+    return tables.literal_acronyms(spark, "  GO\thp\n\nX-1 ").select("id", "pos")
+
+
+@query(I.INDEX_SQL + "SELECT id, submission_id FROM idx WHERE pos % 3 > 0")
+def known_submissions(spark, sf_dir):
+    """The submissions of an index that names none for a third of its rows."""
+    at = place(spark, "known") + ".yaml"
+    index = C.index_overlay(I.base_index(spark, sf_dir), I.fragments(spark, sf_dir), "new")
+    none = F.when(F.col("pos") % 2 == 0, "NA").otherwise("")
+    sinks.index_yaml(index.withColumn("submission_id", F.when(F.col("pos") % 3 == 0, none).otherwise(F.col("submission_id"))).drop("pos"), at)
+    return tables.index_submissions(spark, at)
+
+
+@query("SELECT 'U' || user_id AS id, arg_max(event_type, event_id) AS status FROM events GROUP BY user_id")
+def last_report_rows(spark, sf_dir):
+    """A report in which most ids have several rows: the last one counts."""
+    at = place(spark, "repeated-report")
+    e = I.table(spark, sf_dir, "events").select(F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("id"), F.col("event_type").alias("status"), "event_id")
+    sinks.download_report(e.orderBy("event_id"), at)
+    return tables.report_by_id(spark, at).select("id", "status")
+
+
+@query("SELECT 'n' || n_nationkey AS source, 'r' || r AS resource FROM (SELECT n_nationkey, unnest([n_nationkey % 5, 7]) AS r FROM nation)")
+def registry_round_trip(spark, sf_dir):
+    """Nations as registered graphs, drawn on by other resources, through the registry's JSON."""
+    n = I.table(spark, sf_dir, "nation")
+    names = [r[0] for r in n.select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string"))).collect()]  # a registry is of a catalogue's size
+    graph = [{"id": x, "category": "KnowledgeGraph", "domains": ["d"], "products": [{"category": "GraphProduct", "original_source": [{"source": x}]}]} for x in names]
+    drawn = [{"id": f"r{k}", "products": [{"id": "p", "original_source": [{"source": x} for x in names if k == 7 or int(x[1:]) % 5 == k] + [{"source": "nobody"}]}]} for k in (0, 1, 2, 3, 4, 7)]
+    at = place(spark, "registry") + ".json"
+    sinks._put(n, at, json.dumps({"resources": graph + drawn}).encode())
+    return B.reverse_index(tables.resources(spark, at)).select("source", "resource")
+
+
+@query("SELECT p_brand AS id, string_agg(DISTINCT p_type, '|' ORDER BY p_type) AS category, CAST(count(DISTINCT p_type) AS INTEGER) AS n FROM part GROUP BY p_brand")
+def graph_table_round_trip(spark, sf_dir):
+    at = place(spark, "table")
+    p = I.table(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("id")).agg(F.collect_list("p_type").alias("category"))
+    sinks.tsv(sinks.flat(p), at)
+    back = tables.graph_table(spark, at, ("category",))
+    return back.select("id", G.join_values(F.col("category")).alias("category"), F.size("category").alias("n"))
+
+
+@query("SELECT 'G_nodes.tsv' AS member, CAST(sum(strlen(n_name) + strlen('n' || n_nationkey) + 2) + 8 AS BIGINT) AS size, CAST(count(*) + 1 AS BIGINT) AS lines FROM nation UNION ALL SELECT 'G_edges.tsv', CAST(sum(strlen('n' || n_nationkey) + strlen('r' || n_regionkey) + 2) + 15 AS BIGINT), count(*) + 1 FROM nation")
+def bundle_round_trip(spark, sf_dir):
+    """Both tables of a graph in one tarball, read back as members."""
+    at = place(spark, "bundle") + ".tar.gz"
+    n = I.table(spark, sf_dir, "nation")
+    id_ = lambda t, k: F.concat(F.lit(t), F.col(k).cast("string"))
+    sinks.bundle(n.select(id_("n", "n_nationkey").alias("id"), F.col("n_name").alias("name")), n.select(id_("n", "n_nationkey").alias("subject"), id_("r", "n_regionkey").alias("object")), at, "G")
+    rows = spark.read.format("binaryFile").load(at).select(F.explode(archives.members(F.col("content"), F.col("path"))).alias("m"))
+    return rows.select("m.member", "m.size", (F.size(F.split(X.utf8(F.col("m.content")), "\n")) - 1).cast("long").alias("lines"))
+
+
+@query(I.INDEX_SQL + "SELECT id, download_url FROM idx WHERE status = 'OK' AND download_url IS NOT NULL")
+def manifest_round_trip(spark, sf_dir):
+    at = place(spark, "manifest") + ".tsv"
+    sinks.manifest(C.url_manifest(C.index_overlay(I.base_index(spark, sf_dir), I.fragments(spark, sf_dir), "new")), at)
+    return tables.tsv(spark, at, "id string, download_url string").drop("pos")
+
+
+@query("SELECT 'D' || doc_id AS a, source || ' ' || lang || ' ' || doc_id AS n, 'x' AS h, 'Doc' AS s FROM documents")
+def search_json_round_trip(spark, sf_dir):
+    from ontoloom.plans.registry import _doc_items
+
+    at = place(spark, "search") + ".json"
+    sinks.search_json(B.search_index(_doc_items(spark, sf_dir)), at)
+    return spark.read.schema("a string, n string, h string, s string").option("multiLine", True).json(at)
+
+
+@query("SELECT rank % 7 AS shard, string_agg(id, ' ' ORDER BY rank) AS acronyms FROM (SELECT 'S' || s_suppkey AS id, row_number() OVER (ORDER BY s_suppkey) - 1 AS rank FROM supplier) GROUP BY rank % 7")
+def shards_json(spark, sf_dir):
+    """The shard plan through its JSON, whose order is that of shards."""
+    s = I.table(spark, sf_dir, "supplier").select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("id"), F.col("s_suppkey").alias("pos"))
+    text = sinks.shards_json(C.shard_plan(s, 7))
+    plan = spark.range(1).select(F.posexplode(F.from_json(F.lit(text), "array<string>")).alias("shard", "acronyms"))
+    return plan.select(F.col("shard").cast("long").alias("shard"), "acronyms")
+
+
+@query("SELECT 'node_stats' AS kind, 'provided_by' AS facet, 'nation' AS key, 'Nation' AS value, count(*) AS n FROM nation UNION ALL SELECT 'edge_stats', 'provided_by', 'nation', 'in_region', count(*) FROM nation")
+def stats_round_trip(spark, sf_dir):
+    """Facet counts of a graph through their YAML."""
+    import yaml
+
+    at = place(spark, "stats") + ".yaml"
+    pick = lambda df: df.where("provided_by = 'nation'")
+    counts = G.facets(pick(G.star_nodes(spark, sf_dir)), pick(G.star_edges(spark, sf_dir))).where("facet = 'provided_by'")
+    sinks.stats_yaml(counts, at, "g")
+    tree = yaml.safe_load("\n".join(r.value for r in spark.read.text(at, wholetext=True).collect()))
+    rows = [(k, f, x, v, n) for k, facets in tree.items() if k != "graph_name" for f, keys in facets.items() for x, vs in keys.items() for v, n in vs.items()]
+    return spark.createDataFrame(rows, "kind string, facet string, key string, value string, n long")

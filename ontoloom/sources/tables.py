@@ -78,6 +78,20 @@ def index(spark: SparkSession, path: str) -> DataFrame:
     return yaml_rows(spark, path, "ontologies", INDEX)
 
 
+def index_submissions(spark: SparkSession, path: str) -> DataFrame:
+    """(id, submission_id) of the index rows that name a submission: neither empty nor NA."""
+    known = index(spark, path).select("id", "submission_id")
+    return known.where(F.coalesce((F.col("submission_id") != "") & (F.col("submission_id") != "NA"), F.lit(False)))
+
+
+def report_by_id(spark: SparkSession, path: str) -> DataFrame:
+    """The download report with one row for each id, the last one."""
+    from ontoloom.operators.catalog import last_of_each
+
+    df = download_report(spark, path)
+    return last_of_each(df, "id", "pos")
+
+
 def graph_table(spark: SparkSession, path: str, multivalued: tuple[str, ...] = ()) -> DataFrame:
     """A node or edge TSV; multi-valued columns become sorted arrays."""
     from ontoloom.operators.graph import split_values
