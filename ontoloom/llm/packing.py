@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from .common import WS, materialize, whole
 
 SIZES = (256, 512, 1024, 2048)
-#: With the largest pieces a shard's tokens take 64 MiB.
+#: With the largest pieces a shard's tokens, of two bytes each, take 32 MiB.
 SHARD_PIECES = 8_192
 #: Tokens that a sequence costs besides its length (separators, its share of a step).
 OVERHEAD = 16
@@ -112,7 +112,7 @@ def pack_shard(lengths: list[int], sizes: list[int], cost: Callable[[int], float
     return best[:3]
 
 
-def _bins(rows: DataFrame, sizes: list[int], cost: Callable[[int], float]) -> DataFrame:
+def _bins(rows: DataFrame, sizes: list[int], cost: Callable[[int], float], width: int = 0) -> DataFrame:
     """Written rows (id, n, at, and tokens if there are any) -> a row for each bin: (bin_id, bin_size, n_tokens, ids, pieces, starts, lengths, offsets, and tokens)."""
     largest, tokens = sizes[-1], "tokens" in rows.columns
     count = rows.agg(F.sum(F.ceil(F.col("n") / largest))).first()[0] or 0
@@ -120,7 +120,7 @@ def _bins(rows: DataFrame, sizes: list[int], cost: Callable[[int], float]) -> Da
     last = (F.ceil(F.col("n") / largest) - 1).cast("long")
     piece = lambda k: F.struct(
         k.alias("piece"), (k * largest).alias("start"), F.least(F.lit(largest), F.col("n") - k * largest).cast("long").alias("length"),
-        *([F.slice("tokens", (k * largest + 1).cast("int"), F.lit(largest)).alias("tokens")] if tokens else []),
+        *([F.col("tokens").substr((k * largest * width + 1).cast("int"), F.lit(largest * width)).alias("tokens")] if tokens else []),
     )
     pieces = rows.where("n > 0").select("id", "at", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), last), piece)).alias("p")).select("id", "at", "p.*")
     pieces = pieces.withColumn("shard", F.pmod(F.xxhash64("at", "piece"), F.lit(shards)))
@@ -138,24 +138,27 @@ def _bins(rows: DataFrame, sizes: list[int], cost: Callable[[int], float]) -> Da
         out = {"bin_id": pa.array([f"{key[0]}-{b}" for b in range(len(final))], pa.string()), "bin_size": pa.array(final, pa.int64()), "n_tokens": pa.array(used)}
         out |= {"ids": lists("id"), "pieces": lists("piece"), "starts": lists("start"), "lengths": lists("length"), "offsets": pa.ListArray.from_arrays(ends, pa.array(np.array(offset, np.int64)[order]))}
         if tokens:
-            out["tokens"] = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(used)]).astype(np.int32)), t["tokens"].combine_chunks().flatten())
+            ends = np.concatenate([[0], np.cumsum(used * width)]).astype(np.int32)  # the parts lie in order, so a bin is a range of them
+            out["tokens"] = pa.Array.from_buffers(pa.binary(), len(final), [None, pa.py_buffer(ends.tobytes()), t["tokens"].combine_chunks().buffers()[2]])
         return pa.table(out)
 
     kind = rows.schema["id"].dataType.simpleString()
-    schema = f"bin_id string, bin_size long, n_tokens long, ids array<{kind}>, pieces array<long>, starts array<long>, lengths array<long>, offsets array<long>" + (", tokens array<int>" if tokens else "")
+    schema = f"bin_id string, bin_size long, n_tokens long, ids array<{kind}>, pieces array<long>, starts array<long>, lengths array<long>, offsets array<long>" + (", tokens binary" if tokens else "")
     return pieces.groupBy("shard").applyInArrow(lambda key, t: work(tuple(k.as_py() for k in key), t), schema)
 
 
-def pack(docs: DataFrame, tokens: Column, id_col: str = "doc_id", sizes: tuple[int, ...] = SIZES, cost: Callable[[int], float] = linear_cost) -> DataFrame:
+def pack(docs: DataFrame, tokens: Column, width: int, id_col: str = "doc_id", sizes: tuple[int, ...] = SIZES, cost: Callable[[int], float] = linear_cost) -> DataFrame:
     """Packed sequences: (bin_id, bin_size, n_tokens, ids, pieces, starts, lengths, offsets, tokens).
 
-    ``tokens`` is a column array<int> of ``docs``. ids, pieces, starts,
-    lengths and offsets are parallel lists, in the order of the bin: tokens ``start``
-    up to ``start + length`` of the row ``id`` lie at ``offset``. Tokens shuffle once.
+    ``tokens`` is a column of ``docs``, each text's tokens as integers of
+    ``width`` bytes, one behind the other; a bin's tokens are the same. ids,
+    pieces, starts, lengths and offsets are parallel lists, in the order of the
+    bin: tokens ``start`` up to ``start + length`` of the row ``id`` lie at
+    ``offset``. Tokens shuffle once.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(tokens, F.array().cast("array<int>")).alias("tokens"))
-    rows = rows.select("id", "tokens", F.size("tokens").cast("long").alias("n"), F.monotonically_increasing_id().alias("at"))
-    return _bins(materialize(rows, "tokens"), sorted(set(sizes)), cost)
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(tokens, F.lit(b"")).alias("tokens"))
+    rows = rows.select("id", "tokens", F.floor(F.octet_length("tokens") / width).cast("long").alias("n"), F.monotonically_increasing_id().alias("at"))
+    return _bins(materialize(rows, "tokens"), sorted(set(sizes)), cost, width)
 
 
 def plan(docs: DataFrame, length: Column | None = None, id_col: str = "doc_id", text_col: str = "text", sizes: tuple[int, ...] = SIZES, cost: Callable[[int], float] = linear_cost) -> DataFrame:

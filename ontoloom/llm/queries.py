@@ -11,15 +11,17 @@ from . import ann, bpe, chat, exact_dedup, near_dedup, packing, quality, toxicit
 from .common import fold, read
 
 
-def tokens_of(text: str = "text"):
-    """The ids of a text by the public vocabulary, as a column."""
+def sequences(docs: DataFrame) -> DataFrame:
+    """Texts as packed sequences of the public vocabulary's ids."""
     import public_tokenizers
 
-    return bpe.encode_by_library(F.col(text), bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
+    vocabulary = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    tokens = bpe.encode_by_library(F.col("text"), vocabulary, public_tokenizers.PATTERN)
+    return packing.pack(docs, tokens, bpe.width_of(vocabulary)).withColumnRenamed("ids", "doc_ids")
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(read(spark, sf_dir, "documents"), tokens_of()).withColumnRenamed("ids", "doc_ids")
+    return sequences(read(spark, sf_dir, "documents"))
 
 
 #: The rules of the URL query: (verdict, host and path).

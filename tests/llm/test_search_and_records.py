@@ -268,10 +268,10 @@ def test_repeated_rows_spread(spark, monkeypatch):
 def test_sequences_hold_all_tokens(spark):
     rng = random.Random(9)
     rows = [(i, [rng.randrange(50_000) for _ in range(rng.choice([0, 1, 300, 2048, 2049, 5000]))]) for i in range(60)] + [(100, None)]
-    df = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, t array<int>, tokens string")
-    out = packing.pack(df, F.col("t")).withColumnRenamed("ids", "doc_ids")
+    df = spark.createDataFrame([(i, None if t is None else bytearray(np.array(t, np.uint16).tobytes()), "x") for i, t in rows], "doc_id long, t binary, tokens string")
+    out = packing.pack(df, F.col("t"), 2).withColumnRenamed("ids", "doc_ids")
     check_bins(out.collect(), dict(rows))
-    assert packing.pack(df.where("false"), F.col("t")).count() == 0
+    assert packing.pack(df.where("false"), F.col("t"), 2).count() == 0
 
 
 def test_packed_text(spark, docs):
