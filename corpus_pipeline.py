@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ontoloom.llm import exact_dedup, near_dedup, packing, quality, queries, toxicity
+from ontoloom.llm import exact_dedup, near_dedup, quality, queries, toxicity
 from ontoloom.llm.common import materialize, read
 
 #: Documents below the first score, or at or above the second, go.
@@ -38,7 +38,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, queries.tokens_of()).withColumnRenamed("ids", "doc_ids")
+    return queries.sequences(docs)
 
 
 STAGES = [
