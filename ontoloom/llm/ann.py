@@ -50,6 +50,8 @@ SUB_DIM = 2
 RERANK = 256
 TUNING, COVERED = 256, 0.975
 INDEX_BLOCK, QUERY_BLOCK, SHARD_BLOCKS = 4_096, 1_024, 8
+#: Lists of candidates that become one at a time.
+MERGED = 64
 STEPS = 8
 _FOUND = "query_id long, rank int, id long, score double"
 
@@ -230,31 +232,51 @@ def _walk(quantiser: Quantiser, lists: int, keep: int, blocks: Iterator[tuple[by
         if ids[j]:
             i2, d2 = _best(ids[j], ds[j], keep + 1)
             other = i2 != query
-            yield int(query), i2[other], d2[other]
+            yield int(query), *_best([i2[other]], [d2[other]], keep)
+
+
+_LISTS = "query long, shard long, ats array<long>, ds array<double>"
+
+
+def _lists(rows: list[tuple[int, int, np.ndarray, np.ndarray]]) -> pa.Table:
+    """(query, shard, rows, distances) as a table of _LISTS."""
+    ends = pa.array(np.cumsum([0, *(len(at) for *_, at, _ in rows)]).astype(np.int32))
+    joined = lambda k, t: pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.empty(0, t), *(r[k] for r in rows)]).astype(t)))
+    return pa.table({"query": pa.array([r[0] for r in rows], pa.int64()), "shard": pa.array([r[1] for r in rows], pa.int64()), "ats": joined(2, np.int64), "ds": joined(3, float)})
 
 
 def candidates(blocks: DataFrame, queries: DataFrame, quantiser: Quantiser, lists: int, keep: int) -> DataFrame:
-    """(query, at): for each query (at, v) the ``keep`` best rows of the index by approximate distance."""
+    """(query, at): for each query (at, v) the ``keep`` best rows of the index by approximate distance.
+
+    A pair of query and shard is one row, with a list of ``keep`` candidates at
+    most; ``MERGED`` lists of a query become one until it has a single one.
+    """
     dim, count, total = quantiser.centroids.shape[1], blocks.count(), queries.count()
     shards = max(1, min(count, max(64, count // SHARD_BLOCKS)))
     parts = -(-total // QUERY_BLOCK)
-    spark = blocks.sparkSession
     left = blocks.withColumns({"shard": F.pmod(F.xxhash64("block"), F.lit(shards)), "part": F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))})
     right = queries.select(F.pmod(F.xxhash64("at"), F.lit(parts)).cast("int").alias("part"), "at", "v", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"))
-    shared = spark.sparkContext.broadcast(quantiser)  # MAX_LISTS centroids and fixed codebooks
+    shared = blocks.sparkSession.sparkContext.broadcast(quantiser)  # MAX_LISTS centroids and fixed codebooks
 
-    def work(a: pa.Table, b: pa.Table) -> pa.Table:
-        rows: list[tuple[int, np.ndarray, np.ndarray]] = []
+    def work(key: tuple, a: pa.Table, b: pa.Table) -> pa.Table:
+        rows = []
         if a.num_rows and b.num_rows:
             b = b.combine_chunks()
             each = zip(*[(x.as_py() for x in a[n]) for n in ("cells", "ats", "codes", "biases")], strict=True)
-            rows = list(_walk(shared.value, lists, keep, each, b["at"].to_numpy(), _matrix(b["v"].combine_chunks(), dim)))
-        cat = lambda xs, t: np.concatenate(xs) if xs else np.empty(0, t)
-        return pa.table({"query": cat([np.full(len(i), who) for who, i, _ in rows], np.int64), "at": cat([i for _, i, _ in rows], np.int64), "d": cat([d for *_, d in rows], float).astype(float)})
-
-    got = left.groupBy("part", "shard").cogroup(right.groupBy("part", "shard")).applyInArrow(work, "query long, at long, d double")
-    order = Window.partitionBy("query").orderBy("d", "at")
-    return got.withColumn("r", F.row_number().over(order)).where(F.col("r") <= keep).select("query", "at")
+            found = _walk(shared.value, lists, keep, each, b["at"].to_numpy(), _matrix(b["v"].combine_chunks(), dim))
+            rows = [(who, key[1].as_py(), at, d) for who, at, d in found]
+        return _lists(rows)
+
+    def merge(key: tuple, t: pa.Table) -> pa.Table:
+        at, d = (t[n].combine_chunks().flatten().to_numpy(zero_copy_only=False) for n in ("ats", "ds"))
+        at, d = _best([at], [d], keep)
+        return _lists([(key[0].as_py(), key[1].as_py(), at, d)])
+
+    got = left.groupBy("part", "shard").cogroup(right.groupBy("part", "shard")).applyInArrow(work, _LISTS)
+    while shards > 1:
+        got = got.withColumn("shard", F.floor(F.col("shard") / MERGED)).groupBy("query", "shard").applyInArrow(merge, _LISTS)
+        shards = -(-shards // MERGED)
+    return got.select("query", F.explode("ats").alias("at"))
 
 
 def distance(a: Column, b: Column) -> Column:
