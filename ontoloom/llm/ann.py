@@ -48,7 +48,7 @@ MAX_LISTS = 4_096
 CODEWORDS = 256
 SUB_DIM = 2
 RERANK = 256
-TUNING, COVERED = 256, 0.975
+TUNING, COVERED = 256, 0.985
 INDEX_BLOCK, QUERY_BLOCK, SHARD_BLOCKS = 4_096, 1_024, 8
 #: Lists of candidates that become one at a time.
 MERGED = 64
