@@ -21,6 +21,12 @@ A file that one replica lacks mismatches at its root. Empty replicas are equal.
 
 from __future__ import annotations
 
+import hashlib
+import re
+import zlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +36,7 @@ FANOUT = 16
 LEAF_RANGE = 1 << 16
 #: Records of a file, as pages are dealt to files by their ids.
 FILE_RECORDS = 256
+_STEP = 1 << 16
 
 
 def record(url: Column, payload: Column, number: Column) -> Column:
@@ -62,6 +69,48 @@ def records(pages: DataFrame, payload: Column | None = None) -> DataFrame:
     return rows.select("file", "page_id", "length", "hash", "start", copy).select("file", "page_id", "length", "hash", (F.col("start") + F.col("copy") * F.col("length")).alias("offset"))
 
 
+def split(data: bytes) -> Iterator[tuple[int, int]]:
+    """(offset, length) of the records of a WARC file, plain or with each record compressed on its own.
+
+    Where a header makes no sense, the rest of the file is one record.
+    """
+    at = 0
+    while at < len(data):
+        if data[at : at + 2] == b"\x1f\x8b":
+            member = zlib.decompressobj(31)
+            try:
+                done = at
+                while not member.eof and done < len(data):
+                    member.decompress(data[done : done + _STEP])
+                    done += _STEP
+                end = min(done, len(data)) - len(member.unused_data) if member.eof else len(data)
+            except zlib.error:
+                end = len(data)
+        else:
+            head = data.find(b"\r\n\r\n", at)
+            found = re.search(rb"(?im)^content-length:[ \t]*(\d+)[ \t]*\r$", data[at : head + 1]) if head >= 0 and data[at : at + 5] == b"WARC/" else None
+            end = min(head + 4 + int(found[1]) + 4, len(data)) if found else len(data)
+        yield at, end - at
+        at = end
+
+
+def scan(files: DataFrame) -> DataFrame:
+    """files (path, content), as ``binaryFile`` gives them -> (file, offset, length, hash): the records as they are stored, for ``audit``.
+
+    A file is read by one task and is one row, so 2 GB at most, as WARC files are.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for path, content in zip(b.column(0), b.column(1), strict=True):
+                data = content.as_buffer().to_pybytes() if content.is_valid else b""
+                spans = list(split(data))
+                cols = [pa.array([path.as_py()] * len(spans), pa.string()), *(pa.array([s[k] for s in spans], pa.int64()) for k in (0, 1))]
+                yield pa.RecordBatch.from_arrays([*cols, pa.array([hashlib.sha256(data[o : o + n]).digest() for o, n in spans], pa.binary())], ["file", "offset", "length", "hash"])
+
+    return files.select(F.col("path").cast("string"), "content").mapInArrow(work, "file string, offset long, length long, hash binary")
+
+
 def _hash(children: Column) -> Column:
     """Of the sorted structs (key, hash)."""
     return F.unhex(F.sha2(F.array_join(F.transform(children, lambda c: F.concat(c["k"].cast("string"), F.lit(":"), F.hex(c["hash"]))), "|"), 256))
