@@ -83,7 +83,7 @@ def resources(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(F.lit("p1"), F.lit("p2")).alias("predicates"), F.array(F.struct(source.alias("source"))).alias("original_source"),
     )
     # by order key and line number, then by the rest, as line items can repeat both: so that the list is stable
-    lists = li.groupBy(F.col("l_suppkey").alias("k")).agg(F.array_sort(F.collect_list(product)).alias("p"))
+    lists = li.groupBy(F.col("l_suppkey").alias("k")).agg(F.sort_array(F.collect_list(product)).alias("p"))
     products = F.transform("p", lambda x: F.struct(*[x[c].alias(c) for c in ("id", "name", "category", "format", "node_count", "edge_count", "node_categories", "predicates", "original_source")]))
     return lists.select(
         F.concat(F.lit("R"), F.col("k").cast("string")).alias("id"), F.when(F.col("k") % 6 != 0, F.concat(F.lit("Resource "), F.col("k").cast("string"))).alias("name"), F.lit("d").alias("description"),
