@@ -7,11 +7,14 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 #: Folders that are still there, by path.
 _written: dict[str, SparkSession] = {}
+#: What the innermost ``scratch`` of this thread has written so far.
+_scope: ContextVar[list[str] | None] = ContextVar("scope", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -43,6 +46,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/ontoloom-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _written[path] = spark
+    if (scope := _scope.get()) is not None:
+        scope.append(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._ontoloom_path = path
     return out
@@ -63,15 +68,25 @@ def _delete(path: str) -> None:
 
 @contextmanager
 def scratch() -> Iterator[list[DataFrame]]:
-    """What is written inside goes at the end, but for the tables that are put into the list.
+    """What this thread writes inside goes at the end, but for the tables that are put into the list.
 
-    Results that are computed later may read those only.
+    Results that are computed later may read those only; they belong to the
+    scratch around this one, if there is any.
     """
-    before, kept = set(_written), []
-    yield kept
-    stays = before | {t._ontoloom_path for t in kept}
-    for path in [p for p in _written if p not in stays]:
-        _delete(path)
+    own: list[str] = []
+    kept: list[DataFrame] = []
+    outer = _scope.get()
+    token = _scope.set(own)
+    try:
+        yield kept
+    finally:
+        _scope.reset(token)
+    stays = [t._ontoloom_path for t in kept]
+    for path in own:
+        if path not in stays:
+            _delete(path)
+    if outer is not None:
+        outer += stays
 
 
 def _sweep() -> None:

@@ -165,7 +165,8 @@ def change_counts(catalogue: DataFrame, index: DataFrame) -> DataFrame:
 def shard_plan(items: DataFrame, shards: int, id_col: str = "id", pos_col: str = "pos") -> DataFrame:
     """(shard, acronyms): items dealt round-robin by position, each shard's ids in order.
 
-    Positions have to be unique.
+    Positions have to be unique. A shard's ids are one string, as a job's matrix
+    takes them: this is for catalogues, not for tables of rows.
     """
     ranked = global_rank(items, pos_col)
     dealt = ranked.withColumn("shard", (F.col("rank") % F.lit(max(1, shards))).cast("long"))
