@@ -62,6 +62,18 @@ def test_twice_filter_loses_no_repeat(spark):
     assert set(repeated) <= {r.h for r in bloom.hits(df, "h", tiny, 64, "m").where("m").collect()}
 
 
+def test_more_hashes_than_a_filter_holds(spark, monkeypatch):
+    """Beyond the bound the hashes are counted; the groups are the same, and the filter has repeated ones only."""
+    df = spark.range(6000).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), F.least(F.col("id"), F.lit(5899)).cast("string")).alias("text"))
+    plain = sorted(map(tuple, exact_dedup.decisions(df).collect()))
+    monkeypatch.setattr(bloom, "MAX_BLOCKS", 64)
+    counted = []
+    once = bloom.once_filter
+    monkeypatch.setattr(bloom, "once_filter", lambda keys, h, blocks: counted.append(keys.count()) or once(keys, h, blocks))
+    assert sorted(map(tuple, exact_dedup.decisions(df).collect())) == plain and counted == [1]
+    assert exact_dedup.dedup(df).count() == 5900
+
+
 def shingle_set(text, k):
     w = [x for x in re.split(r"[\x20\x09-\x0d]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")) if x]
     return {tuple(w)} if 0 < len(w) < k else {tuple(w[i : i + k]) for i in range(len(w) - k + 1)}
