@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .common import whole
+from .common import give_back, whole
 
 
 def load_ranks(path: str) -> list[bytes]:
@@ -243,6 +243,8 @@ def encode(text: Column, vocabulary: list[bytes], pattern: str) -> Column:
             ids = [encoder.packed(t.as_py() or "") for t in texts]
             offsets = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
             yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), np.int32)))
+        del encoder
+        give_back()
 
     return of(whole(text))
 
@@ -279,6 +281,8 @@ def encode_by_library(text: Column, vocabulary: list[bytes], pattern: str) -> Co
 
         for texts in batches:
             yield pa.array([ids(t.as_py()) for t in texts], pa.binary())
+        del library
+        give_back()
 
     return of(whole(text))
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ontoloom.durable import discard, materialize, scratch, shared_dir
 
-__all__ = ["WS", "discard", "fold", "labelled", "materialize", "read", "scratch", "shared_dir", "whole"]
+__all__ = ["WS", "discard", "fold", "give_back", "labelled", "materialize", "read", "scratch", "shared_dir", "whole"]
 
 #: The white space that separates words everywhere in this subpackage.
 WS = r"[\x20\x09-\x0D]+"
@@ -17,6 +20,17 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def give_back() -> None:
+    """Hand memory that this process no longer uses back to the system.
+
+    Python workers serve one operator after the other; each would keep what the
+    largest of them had needed.
+    """
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def whole(text: Column) -> Column:
     """Null counts as empty."""
     return F.coalesce(text.cast("string"), F.lit(""))

@@ -51,7 +51,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom, graph
-from .common import discard, materialize, scratch, whole
+from .common import discard, give_back, materialize, scratch, whole
 
 #: The probability to lose a pair at the limit of similarity, and how many bands it may take.
 LOSS, MOST_BANDS = 1e-6, 35
@@ -145,6 +145,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int
                 [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(node, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(keys) if keys else np.empty(0, np.int64)))],
                 ["id", "th", "n", "node", "keys"],
             )
+        give_back()
 
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
     return rows.mapInArrow(work, f"id {rows.schema['id'].dataType.simpleString()}, th long, n long, node binary, keys array<long>")
@@ -159,6 +160,7 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, k: int, wanted: DataFrame
             yield pa.RecordBatch.from_arrays(
                 [pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["node", "items"]
             )
+        give_back()
 
     text = whole(F.col(text_col))
     blocks = bloom.blocks_for(wanted.count())

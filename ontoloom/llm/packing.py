@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WS, materialize, whole
+from .common import WS, give_back, materialize, whole
 
 SIZES = (256, 512, 1024, 2048)
 #: With the largest pieces a shard's tokens, of two bytes each, take 32 MiB.
@@ -126,6 +126,7 @@ def _bins(rows: DataFrame, sizes: list[int], cost: Callable[[int], float], width
     pieces = pieces.withColumn("shard", F.pmod(F.xxhash64("at", "piece"), F.lit(shards)))
 
     def work(key: tuple, t: pa.Table) -> pa.Table:
+        give_back()
         t = t.combine_chunks().sort_by([("length", "descending"), ("id", "ascending"), ("piece", "ascending"), ("at", "ascending")])
         length = t["length"].to_numpy()
         bins, offset, final = pack_shard(length.tolist(), sizes, cost)

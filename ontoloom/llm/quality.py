@@ -30,9 +30,10 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import labelled, materialize, whole
+from .common import give_back, labelled, materialize, whole
 
-SAMPLE_ROWS, SAMPLE_BYTES = 12_000, 48 << 20
+#: A dictionary learns from about a hundred times its size; the trainer takes some ten times the sample's.
+SAMPLE_ROWS, SAMPLE_BYTES = 12_000, 16 << 20
 DICT_BYTES = 112 << 10
 BLOCK = 512
 LEVEL = 3
@@ -122,6 +123,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         y += [r.y for r in rows if r.half == k]
     good, bad = trained(rows)
     x, y = np.array(x, float).reshape(-1, N_FEATURES), np.array(y, float)
+    del rows
+    give_back()
     if not len(y) or y.min() == y.max():
         share = (y.sum() + 1) / (len(y) + 2)
         weights = np.zeros(_expand(np.zeros((1, N_FEATURES))).shape[1])
@@ -142,5 +145,6 @@ def score(text: Column, model: Model) -> Column:
             x = np.array([features(t.as_py() or b"", g, b) for t in texts.cast(pa.binary())], float).reshape(-1, N_FEATURES)
             z = _expand((x - m.centre) / m.scale) @ m.weights
             yield pa.array(1 / (1 + np.exp(-np.clip(z, -35, 35))))
+        give_back()
 
     return of(whole(text))

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import labelled, materialize, whole
+from .common import give_back, labelled, materialize, whole
 from .quality import logistic
 
 SAMPLE_ROWS, SAMPLE_BYTES = 20_000, 64 << 20
@@ -158,6 +158,7 @@ def _counts(sample: DataFrame) -> DataFrame:
                 if y:
                     toxic.update(own)
             yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array([toxic[t] for t in n], pa.int64()), pa.array(list(n.values()), pa.int64())], ["token", "y", "n"])
+        give_back()
 
     return sample.select("y", "text").mapInArrow(count, "token string, y long, n long").groupBy("token").agg(F.sum("y").alias("y"), F.sum("n").alias("n"))
 
@@ -265,6 +266,8 @@ def score(text: Column, model: Model) -> Column:
             x = np.array([scan.evidence(t) for t in texts.to_pylist()], float).reshape(-1, 2)
             z = m.weights[0] + x @ m.weights[1:]
             yield pa.array(1 / (1 + np.exp(-np.clip(z, -35, 35))))
+        del scan
+        give_back()
 
     return of(whole(text))
 
