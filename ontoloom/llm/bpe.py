@@ -233,13 +233,23 @@ class Encoder:
         return np.frombuffer(self.packed(text), np.int32).tolist()
 
 
+#: Texts whose results are in memory at a time.
+_TEXTS = 1_000
+
+
+def _few(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for b in batches:
+        for lo in range(0, len(b), _TEXTS):
+            yield b.slice(lo, _TEXTS)
+
+
 def encode(text: Column, vocabulary: list[bytes], pattern: str) -> Column:
     """The ids of each text. The vocabulary travels with the tasks; its size is fixed."""
 
     @F.arrow_udf("array<int>")
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(vocabulary, pattern)
-        for texts in batches:
+        for texts in _few(batches):
             ids = [encoder.packed(t.as_py() or "") for t in texts]
             offsets = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
             yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), np.int32)))
@@ -279,7 +289,7 @@ def encode_by_library(text: Column, vocabulary: list[bytes], pattern: str) -> Co
                 own.append(Encoder(vocabulary, pattern))
             return np.frombuffer(own[0].packed(t), np.int32).astype(kind).tobytes()
 
-        for texts in batches:
+        for texts in _few(batches):
             yield pa.array([ids(t.as_py()) for t in texts], pa.binary())
         del library
         give_back()
@@ -293,7 +303,7 @@ def decode(ids: Column, vocabulary: list[bytes]) -> Column:
     @F.arrow_udf("binary")
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         get = vocabulary.__getitem__
-        for lists in batches:
+        for lists in _few(batches):
             flat, at = lists.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum([len(x) if x.is_valid else 0 for x in lists])])
             yield pa.array([b"".join(map(get, flat[a:b].tolist())) for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())
 
