@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ontoloom.durable import discard, materialize
 from ontoloom.functions import text as X
 from ontoloom.operators.browse import RESOURCE
 
@@ -21,6 +24,28 @@ def exists(spark: SparkSession, path: str) -> bool:
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
 
 
+def placed(df: DataFrame, path: str) -> DataFrame:
+    """The rows of text files with ``pos``, a row's place: files in the order of their names, parts by number, and rows as they lie there.
+
+    Spark deals the pieces of files out by size, so the order in which it reads them is none. A place is where
+    the row's piece begins, counted over all files, times a factor, plus the row's number in its task.
+    """
+    spark = df.sparkSession
+    files = spark.read.format("binaryFile").load(path).select("_metadata.file_path", "_metadata.file_size").collect()  # a row for each file
+    starts, total = [], 0
+    for f in sorted(files, key=lambda f: [int(x) if k % 2 else x for k, x in enumerate(re.split(r"(\d+)", f.file_path))]):
+        starts.append((f.file_path, total))
+        total += f.file_size
+    factor = 1 << min(33, 62 - total.bit_length())
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    rows = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), row.alias("_row"))
+    if len(starts) > 1:
+        rows = rows.join(F.broadcast(spark.createDataFrame(starts, "_file string, _start long")), "_file", "left")
+    else:
+        rows = rows.withColumn("_start", F.lit(0))
+    return rows.withColumn("pos", (F.col("_start") + F.col("_block")) * factor + F.col("_row")).drop("_file", "_block", "_row", "_start")
+
+
 def tsv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A TSV file with a header, no quoting; short rows are filled with nulls; ``pos`` is a row's place."""
     df = spark.read.schema(schema).option("sep", "\t").option("header", True).option("quote", "").option("mode", "PERMISSIVE").csv(path)
@@ -50,28 +75,141 @@ def download_report(spark: SparkSession, path: str) -> DataFrame:
     return df.withColumns({**text, "source_bytes": F.coalesce(F.col("source_bytes").try_cast("long"), F.lit(0)), "http_status": F.col("http_status").try_cast("int")})
 
 
+#: YAML files of more bytes are parsed piece by piece, by all executors.
+WHOLE_BYTES = 1 << 20
+#: A line that belongs to no item: a top-level key or a marker of documents.
+_TOP = re.compile(rb"[\r\n](?=[^\s#-]|-\S)")
+
+#: A line of an item that needs no parser: a name and plain text, or text in single quotes without any inside.
+_LINE = r"[A-Za-z_]\w*: (?:[A-Za-z0-9_][\w./-]*|'[ -&(-~]*')"
+
+
 def yaml_rows(spark: SparkSession, path: str, key: str, schema: str) -> DataFrame:
     """The list under ``key`` of a YAML file. All scalars are read as text and then cast, so an id NO stays NO.
 
-    A missing file is an empty relation. Such files describe one catalogue, some
-    thousand rows, and one row of ``binaryFile`` holds each of them whole.
+    A missing file is an empty relation.
     """
-    import pyarrow as pa
-    import yaml
-
     names = [f.name for f in spark.createDataFrame([], schema).schema]
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
+    text = _yaml_pieces(spark, path, key, names)
+    if text is None:
+        text = _yaml_whole(spark, path, key, names)
+    kinds = {f.name: f.dataType for f in spark.createDataFrame([], schema).schema}
+    return text.select(*[F.col(n).try_cast(kinds[n]).alias(n) for n in names])
+
+
+def _yaml_values(item: dict, names: list[str]) -> list:
+    return [None if item.get(n) in (None, "null", "~") else str(item.get(n)) for n in names]
+
+
+def _yaml_whole(spark: SparkSession, path: str, key: str, names: list[str]) -> DataFrame:
+    """Each file at once, as one row of ``binaryFile``."""
+    import pyarrow as pa
+    import yaml
 
     def work(batches):
         for b in batches:
             for content in b.column(0).to_pylist():
-                rows = (yaml.load(content, Loader=yaml.BaseLoader) or {}).get(key) or []
-                yield pa.RecordBatch.from_arrays([pa.array([None if r.get(n) in (None, "null", "~") else str(r.get(n)) for r in rows], pa.string()) for n in names], names)
+                rows = [_yaml_values(r, names) for r in (yaml.load(content, Loader=yaml.BaseLoader) or {}).get(key) or []]
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.string()) for k in range(len(names))], names)
 
-    text = spark.read.format("binaryFile").load(path).select("content").mapInArrow(work, ", ".join(f"{n} string" for n in names))
-    kinds = {f.name: f.dataType for f in spark.createDataFrame([], schema).schema}
-    return text.select(*[F.col(n).try_cast(kinds[n]).alias(n) for n in names])
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(work, ", ".join(f"{n} string" for n in names))
+
+
+def _yaml_pieces(spark: SparkSession, path: str, key: str, names: list[str]) -> DataFrame | None:
+    """The same rows of one large file, cut where its list's items begin; None where it has to be parsed whole.
+
+    A dash in the column of the list begins an item there, or lies with another
+    key. A top-level key in a piece ends its last item and says whose the items
+    behind it are. Whatever else could reach from one piece into another (quoted
+    text, anchors, several documents) leaves a piece that doesn't parse, and then
+    the file is parsed whole.
+    """
+    import pyarrow as pa
+    import yaml
+
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    status = store.getFileStatus(at)
+    if status.isDirectory() or status.getLen() <= WHOLE_BYTES:
+        return None
+    stream = store.open(at)
+    try:
+        head = bytes(stream.readNBytes(1 << 16))
+    finally:
+        stream.close()
+    blank = rb"[ \t]*(?:#.*)?\r?\n"
+    first = re.search(rb"(?m)^" + re.escape(key).encode() + rb":" + blank + rb"(?:" + blank + rb")*( *)- ", head)
+    item = (first[1].decode() if first else "") + "- "
+    inner = "\n" + " " * len(item)
+    flat = re.compile(f"{_LINE}(?:{inner}{_LINE})*\n?".encode())
+
+    def parse(batches):
+        loader = getattr(yaml, "CBaseLoader", yaml.BaseLoader)
+
+        def items(text: bytes):
+            rows = yaml.load(item.encode() + text, Loader=loader)
+            return [("item", _yaml_values(r, names)) if isinstance(r, dict) else ("odd", None) for r in rows]
+
+        def lines(text: bytes):
+            pairs = (x.split(": ", 1) for x in text.decode().removesuffix("\n").split(inner))
+            return [("item", _yaml_values({k: v[1:-1] if v[0] == "'" else v for k, v in pairs}, names))]
+
+        def keys(text: bytes):
+            """Of top-level keys: is the list among them, and what of it?"""
+            found = [k.value for k, _ in yaml.compose(text, Loader=loader).value]
+            if key not in found:
+                return [("other", None)]
+            value = yaml.load(text, Loader=loader)[key]
+            if not value and found[-1] == key:
+                return [("open" if value == "" else "closed", None)]
+            return [("closed", None), *[("inline", _yaml_values(r, names)) for r in value or []]]
+
+        def parsed(places, pieces):
+            run = []
+            for pos, piece in [*zip(places, pieces, strict=True), (-1, b"")]:
+                top = _TOP.search(piece) if pos > 0 else None
+                simple = pos > 0 and flat.fullmatch(piece)
+                if pos > 0 and not top and not simple:
+                    run.append((pos, piece))
+                    continue
+                if run:  # neighbours only
+                    yield run[0][0], items(("\n" + item).encode().join(x for _, x in run))
+                    run = []
+                if simple:
+                    yield pos, lines(piece)
+                elif top:
+                    yield pos, items(piece[: top.end()])
+                    yield pos, keys(piece[top.end() :])
+                elif pos == 0:
+                    yield pos, keys(piece)
+
+        for b in batches:
+            for k in range(0, b.num_rows, 1000):
+                part = b.slice(k, 1000)
+                try:
+                    rows = [(pos, kind, values or [None] * len(names)) for pos, found in parsed(part.column(0).to_pylist(), part.column(1).to_pylist()) for kind, values in found]
+                except Exception:  # noqa: BLE001  whatever it is, the whole file tells
+                    rows = [(0, "error", [None] * len(names))]
+                columns = [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string()), *[pa.array([r[2][j] for r in rows], pa.string()) for j in range(len(names))]]
+                yield pa.RecordBatch.from_arrays(columns, ["_pos", "_kind", *names])
+
+    text = placed(spark.read.option("lineSep", "\n" + item).text(path), path).select("pos", F.col("value").cast("binary").alias("value"))
+    found = materialize(text.mapInArrow(parse, "_pos long, _kind string, " + ", ".join(f"{n} string" for n in names)), "yaml")
+    kind, pos = F.col("_kind"), F.col("_pos")
+    errors, last = found.agg(F.count_if(kind == "error"), F.max(F.when(kind.isin("open", "closed"), F.struct(pos, kind)))).first()
+    if last is None:
+        rows = found.where(F.lit(False))
+    elif last._kind == "closed":
+        rows = found.where((kind == "inline") & (pos == last._pos))
+    else:
+        end = found.where((kind == "other") & (pos > last._pos)).agg(F.min(pos)).first()[0]
+        rows = found.where(kind.isin("item", "odd") & (pos > last._pos) & (pos <= (1 << 62 if end is None else end)))
+    if errors or not rows.where(kind == "odd").isEmpty():
+        discard(found)
+        return None
+    return rows.select(*names)
 
 
 def index(spark: SparkSession, path: str) -> DataFrame:
