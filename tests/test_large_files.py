@@ -3,11 +3,13 @@
 import tracemalloc
 
 import pytest
+import yaml
 from pyspark.sql import functions as F
 
 from ontoloom.sources import sinks, tables
 
 SPLIT = "20011"
+ODD = ("NO", "a: b", "x # y", "- z", "null", "é", "two\nlines", "it's", 'say "so"', "1", "word " * 40, "ontologies:", "&a", "*a", "#", "a\n- b\nc: d", "", " ")
 
 
 @pytest.fixture
@@ -20,6 +22,11 @@ def pieces(spark, monkeypatch):
     spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
+def rows_of(spark, path, text, key="ontologies"):
+    path.write_text(text)
+    return sorted(((r.name, r.is_umls) for r in tables.test_list(spark, str(path), key).collect()), key=str)
+
+
 def test_known_submissions_hold_no_index_in_the_driver(spark, tmp_path, pieces):
     index = spark.range(2000).select(F.concat(F.lit("C"), F.lpad(F.col("id").cast("string"), 5, "0")).alias("id"), F.lit("OK").alias("status"), (F.col("id") % 3).cast("string").alias("submission_id"), F.lit("x" * 100).alias("name"))
     at = str(tmp_path / "i.yaml")
@@ -37,3 +44,51 @@ def test_known_submissions_hold_no_index_in_the_driver(spark, tmp_path, pieces):
     known = tables.index_submissions(spark, at)
     assert known.rdd.getNumPartitions() > 1
     assert sorted(map(tuple, known.collect())) == [(f"C{k:05}", str(k % 3)) for k in range(2000)]
+
+
+def test_index_in_yaml_is_that_of_the_library(spark, tmp_path):
+    rows = [{"id": f"i{k:02}", "name": v, "nodecount": k - 3, "NO": None if k % 2 else "off"} for k, v in enumerate((*ODD, "NO", "1e3", "0x1f", "2024-01-02", "1_0", "y", "C1/x.tar.gz", "a" * 120, "null", "_", "."))]
+    sinks.index_yaml(spark.createDataFrame(rows, "id string, name string, nodecount long, NO string"), str(tmp_path / "i.yaml"))
+    want = [{k: v for k, v in r.items() if v is not None} for r in rows]
+    assert yaml.safe_load((tmp_path / "i.yaml").read_text()) == {"ontologies": want}
+    for r in want:
+        assert yaml.safe_load(sinks._yaml_item(r)) == [r]
+        if len(r["name"]) < 50 and "\n" not in r["name"] and r["name"].isascii():
+            assert sinks._yaml_item(r) + "\n" == yaml.safe_dump([r], sort_keys=False, allow_unicode=True)
+    sinks.index_yaml(spark.createDataFrame([], "id string"), str(tmp_path / "none.yaml"))
+    assert (tmp_path / "none.yaml").read_text() == "ontologies: []\n"
+
+
+
+LISTS = {
+    "sole": "ontologies:\n- name: A\n  is_umls: true\n- name: B\n",
+    "indented": "# list\n---\nontologies:  # of\n\n  - name: A\n    is_umls: true\n    more:\n      - name: x\n  -\n    name: B\n",
+    "nested": "ontologies:\n- name: A\n  more:\n  - name: x\n  - y\n  is_umls: true\n- name: B\n",
+    "between": "first:\n- name: x\n- plain\nontologies:\n- name: A\n  is_umls: true\n# end\n- name: B\nlast: 1\nmore:\n- name: z\n",
+    "flow": "x: 1\nontologies: [{name: A, is_umls: true}, {name: B}]\ny:\n- name: z\n",
+    "twice": "ontologies:\n- name: z\nx:\n- q\nontologies:\n- name: A\n  is_umls: true\n- name: B\n",
+    "alias": "ontologies:\n- name: &a A\n  is_umls: true\n- name: B\n  other: *a\nx: *a\n",
+    "quoted": "ontologies:\n- name: A\n  is_umls: true\n  text: 'b\n\n- name: no\n\n- c'\n- name: B\n",
+    "block": "ontologies:\n- name: A\n  text: |\n    x\n    - name: no\n    ontologies:\n  is_umls: true\n- name: B\n",
+    "crlf": "ontologies:\r\n- name: A\r\n  is_umls: true\r\n- name: B\r\n",
+    "unindented mapping": "ontologies:\n-   name: A\n    is_umls: true\n- {name: B}\n",
+}
+
+
+@pytest.mark.parametrize("kind", LISTS)
+def test_yaml_in_pieces(spark, tmp_path, pieces, kind):
+    assert rows_of(spark, tmp_path / "l.yaml", LISTS[kind]) == [("A", True), ("B", None)]
+
+
+def test_yaml_without_the_list(spark, tmp_path, pieces):
+    assert rows_of(spark, tmp_path / "a.yaml", "x:\n- name: A\n") == []
+    assert rows_of(spark, tmp_path / "b.yaml", "x: 1\nontologies:\ny:\n- name: A\n") == []
+    assert rows_of(spark, tmp_path / "c.yaml", "ontologies: []\n") == []
+
+
+def test_odd_text_in_pieces(spark, tmp_path, pieces):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "997")
+    items = [{"name": f"{v} {k}" if k % 3 else v, "is_umls": k % 2 == 0, "more": v} for k, v in enumerate(ODD * 6)]
+    text = yaml.safe_dump({"before": list(ODD), "ontologies": items, "after": [{"name": "x"}]}, sort_keys=False, allow_unicode=True)
+    want = sorted(((None if r["name"] == "null" else r["name"], r["is_umls"]) for r in items), key=str)
+    assert rows_of(spark, tmp_path / "l.yaml", text) == want
