@@ -25,11 +25,11 @@ def abbrev_one(n: int | None) -> str:
     return f"{n / divisor:.{decimals}f}{suffix}"
 
 
-def size_one(n: int | None) -> str:
+def size_one(n: int | None, units: tuple[str, ...] = UNITS) -> str:
     if not n:
         return DASH
-    power = min(len(UNITS) - 1, (n.bit_length() - 1) // 10)
-    return f"{n / 1024**power:.{min(power, 1)}f} {UNITS[power]}"
+    power = min(len(units) - 1, (n.bit_length() - 1) // 10)
+    return f"{n / 1024**power:.{min(power, 1)}f} {units[power]}"
 
 
 def abbrev(n: Column) -> Column:
@@ -43,12 +43,12 @@ def abbrev(n: Column) -> Column:
     return F.when(n.isNull(), DASH).when(n < 1000, n.cast("string")).otherwise(of(F.when(n >= 1000, n)))
 
 
-def human_size(n: Column) -> Column:
-    """Bytes in units of 1024; null and 0 -> dash. Only what has to be rounded leaves generated code."""
+def human_size(n: Column, units: tuple[str, ...] = UNITS) -> Column:
+    """Bytes in units of 1024, the last of which has no end; null and 0 -> dash. Only what has to be rounded leaves generated code."""
 
     @F.arrow_udf("string")
     def of(x: pa.Array) -> pa.Array:
-        return pa.array([None if v is None else size_one(v) for v in x.to_pylist()], pa.string())
+        return pa.array([None if v is None else size_one(v, units) for v in x.to_pylist()], pa.string())
 
     n = n.cast("long")
     return F.when(F.coalesce(n, F.lit(0)) == 0, DASH).when(n.between(1, 1023), F.concat(n.cast("string"), F.lit(" B"))).otherwise(of(F.when(~n.between(0, 1023), n)))

@@ -2,10 +2,12 @@
 
 import tracemalloc
 
+import duckdb
 import pytest
 import yaml
 from pyspark.sql import functions as F
 
+from ontoloom.plans import registry
 from ontoloom.sources import sinks, tables
 
 SPLIT = "20011"
@@ -92,3 +94,19 @@ def test_odd_text_in_pieces(spark, tmp_path, pieces):
     text = yaml.safe_dump({"before": list(ODD), "ontologies": items, "after": [{"name": "x"}]}, sort_keys=False, allow_unicode=True)
     want = sorted(((None if r["name"] == "null" else r["name"], r["is_umls"]) for r in items), key=str)
     assert rows_of(spark, tmp_path / "l.yaml", text) == want
+
+
+def of_sql(name, **files):
+    """The rows of a query's SQL over Parquet files."""
+    c = duckdb.connect()
+    for table, at in files.items():
+        c.execute(f"create view {table} as select * from '{at}'")
+    return sorted(c.execute(registry.ORACLES[name]).fetchall())
+
+
+def test_sizes_beyond_gigabytes(spark, tmp_path):
+    keys = (0, 1, 31, 32, 1023, 1024, 32767, 32768, 1_048_575, 1_048_576, 1_048_577, 8_999_999, 33_554_432, 3_000_000_000)
+    spark.createDataFrame([(k,) for k in keys], "o_orderkey long").coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    got = sorted(map(tuple, registry.QUERIES["human_sizes"](spark, str(tmp_path)).select("o_orderkey", "size").collect()))
+    assert (1_048_576, "1024.0 GB") in got
+    assert got == of_sql("human_sizes", orders=tmp_path / "orders.parquet/*.parquet")
