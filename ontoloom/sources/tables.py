@@ -48,8 +48,7 @@ def placed(df: DataFrame, path: str) -> DataFrame:
 
 def tsv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A TSV file with a header, no quoting; short rows are filled with nulls; ``pos`` is a row's place."""
-    df = spark.read.schema(schema).option("sep", "\t").option("header", True).option("quote", "").option("mode", "PERMISSIVE").csv(path)
-    return df.withColumn("pos", F.monotonically_increasing_id())
+    return placed(spark.read.schema(schema).option("sep", "\t").option("header", True).option("quote", "").option("mode", "PERMISSIVE").csv(path), path)
 
 
 def acronyms(spark: SparkSession, path: str) -> DataFrame:

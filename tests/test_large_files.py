@@ -110,3 +110,40 @@ def test_sizes_beyond_gigabytes(spark, tmp_path):
     got = sorted(map(tuple, registry.QUERIES["human_sizes"](spark, str(tmp_path)).select("o_orderkey", "size").collect()))
     assert (1_048_576, "1024.0 GB") in got
     assert got == of_sql("human_sizes", orders=tmp_path / "orders.parquet/*.parquet")
+
+
+def test_the_last_row_of_a_report_in_parts(spark, tmp_path):
+    """Files are read by size, the largest first; a row's place is that in the report."""
+    rows = [(k, "A" if k % 50 == 0 else f"B{k % 7}", f"s{k}") for k in range(1000)]
+    parts = (rows[:30], rows[30:100], rows[100:400], rows[400:990], rows[990:])
+    at = str(tmp_path / "a report")
+    (tmp_path / "a report").mkdir()
+    for k, part in enumerate(parts):
+        lines = ["\t".join(sinks.REPORT_COLUMNS), *("\t".join([i] + [""] * 4 + [status] + [""] * 3) for _, i, status in part)]
+        (tmp_path / "a report" / f"part-{k:05}-x.csv").write_text("\n".join(lines) + "\n")
+    want = {i: s for _, i, s in rows}
+    for split in ("128m", "1009"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        try:
+            assert dict(tables.report_by_id(spark, at).select("id", "status").collect()) == want
+            assert [r.status for r in tables.download_report(spark, at).orderBy("pos").collect()] == [r[2] for r in rows]
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_parts_follow_by_number(spark, tmp_path):
+    for k, ids in ((99_999, "a"), (100_000, "bcd"), (2, "ef")):
+        (tmp_path / f"part-{k:05}-x.csv").write_text("id\n" + "".join(f"{i}\n" for i in ids))
+    assert [r.id for r in tables.acronyms(spark, str(tmp_path)).orderBy("pos").collect()] == list("efabcd")
+
+
+def test_last_report_rows_of_more_events(spark, tmp_path):
+    """Enough events for several parts of unequal sizes."""
+    e = spark.range(0, 60_000, 1, 6).select(F.col("id").alias("event_id"), (F.col("id") * 7 % 1500).alias("user_id"), F.concat(F.lit("t"), (F.col("id") * F.col("id") % 11).cast("string"), F.repeat(F.lit("x"), (F.col("id") / 3000).cast("int"))).alias("event_type"))
+    e.write.parquet(str(tmp_path / "events.parquet"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = sorted(map(tuple, registry.QUERIES["last_report_rows"](spark, str(tmp_path)).select("id", "status").collect()))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == of_sql("last_report_rows", events=tmp_path / "events.parquet/*.parquet")
