@@ -48,6 +48,25 @@ def test_known_submissions_hold_no_index_in_the_driver(spark, tmp_path, pieces):
     assert sorted(map(tuple, known.collect())) == [(f"C{k:05}", str(k % 3)) for k in range(2000)]
 
 
+def test_index_round_trip_holds_no_index_in_the_driver(spark, tmp_path, pieces):
+    """The whole query: nothing of its 4000 rows in the driver's Python, the file read by several tasks, rows as in SQL."""
+    k = F.col("id")
+    day = F.when(k % 3 == 0, "1996-02-03").otherwise("1994-02-03").cast("timestamp_ntz")
+    orders = spark.range(0, 10_000, 1, 4).select((k * 7 % 4000).alias("o_custkey"), F.when(k % 2 == 0, "F").otherwise("O").alias("o_orderstatus"), day.alias("o_orderdate"))
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    tracemalloc.start()
+    try:
+        back = registry.QUERIES["index_round_trip"](spark, str(tmp_path))
+        back.write.parquet(str(tmp_path / "back"))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 2_000_000
+    assert back.rdd.getNumPartitions() > 1
+    got = sorted(map(tuple, spark.read.parquet(str(tmp_path / "back")).collect()))
+    assert len(got) == 4000 and got == of_sql("index_round_trip", orders=tmp_path / "orders.parquet/*.parquet")
+
+
 def test_index_in_yaml_is_that_of_the_library(spark, tmp_path):
     rows = [{"id": f"i{k:02}", "name": v, "nodecount": k - 3, "NO": None if k % 2 else "off"} for k, v in enumerate((*ODD, "NO", "1e3", "0x1f", "2024-01-02", "1_0", "y", "C1/x.tar.gz", "a" * 120, "null", "_", "."))]
     sinks.index_yaml(spark.createDataFrame(rows, "id string, name string, nodecount long, NO string"), str(tmp_path / "i.yaml"))
